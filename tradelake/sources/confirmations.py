@@ -157,9 +157,11 @@ def apply_mapping(rows: DataFrame, mapping: DataFrame | None = None) -> DataFram
 
 # --- FpML -------------------------------------------------------------------------
 
+_SEPARATOR = "\u001f"  # cannot occur in XML text
 _NAME = r"[A-Za-z_][-.\w]*"
 _OPEN_TAG = rf"(?s)^.*<(?:{_NAME}:)?trade\s[^>]*>"
 _CLOSE_START = rf"</(?:{_NAME}:)?$"
+_PREFIX = rf"(</?){_NAME}:"
 _OTHER_TAG = rf"</?(?:{_NAME}:)?[-.\w]+$"
 
 
@@ -174,8 +176,27 @@ def malformed_xml(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def _tag(name: str) -> str:
-    return f"*[local-name()='{name}']"
+# Where each field lies in a trade element, element prefixes taken off
+_IDENT = "/trade/tradeHeader/partyTradeIdentifier/tradeId"
+FPML_PATHS = {
+    "trade_id": _IDENT,
+    "our_ref": f"{_IDENT}[@partyReference='party1']",
+    "instrument_isin": "//instrumentId",
+    "notional": "//notionalAmount/amount",
+    "currency": "//notionalAmount/currency",
+    "trade_date": "/trade/tradeHeader/tradeDate",
+    "settlement_date": "//settlementDate",
+    "counterparty_lei": f"//partyId[@partyIdScheme='{FPML_LEI_SCHEME}']",
+    "price": "//initialPrice/cleanPrice",
+    "direction": "//buyerPartyReference/@href",
+}
+FPML_DEFAULTS = {"notional": "0", "price": "0", "direction": "BUY"}
+
+
+def _xpath_all(xml: str, expressions: list[str]) -> Column:
+    """Texts of several XPath expressions from a single parse, as an array."""
+    joined = f", '{_SEPARATOR}', ".join(expressions)
+    return F.split(F.xpath_string(xml, F.lit(f"concat({joined})")), _SEPARATOR)
 
 
 def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
@@ -192,36 +213,25 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     malformed = malformed_xml(spark, paths).union(unclear).distinct()
 
     inner = F.regexp_replace(F.regexp_replace("value", _OPEN_TAG, ""), _CLOSE_START, "")
+    inner = F.regexp_replace(inner, _PREFIX, "$1")
     fragments = (
         pieces.filter(F.col("value").rlike(_CLOSE_START))
         .join(malformed, "path", "left_anti")
         .select("path", F.concat(F.lit("<trade>"), inner, F.lit("</trade>")).alias("xml"))
     )
 
-    def find(path):
-        return F.xpath_string("xml", F.lit(path))
-
-    def number(path):
-        present = F.xpath_boolean("xml", F.lit(f"boolean({path})"))
-        return F.when(present, find(path).try_cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
-
-    ident = f"/trade/{_tag('tradeHeader')}/{_tag('partyTradeIdentifier')}/{_tag('tradeId')}"
-    buyer = find(f"//{_tag('buyerPartyReference')}/@href")
-    has_buyer = F.xpath_boolean("xml", F.lit(f"boolean(//{_tag('buyerPartyReference')}/@href)"))
-    rows = fragments.select(
+    # Few expressions per parse, for the XML library limits an expression's length.
+    # Fields with a default also report whether they are there.
+    found = fragments.select(
         "path",
-        find(ident).alias("trade_id"),
-        find(f"{ident}[@partyReference='party1']").alias("our_ref"),
-        find(f"//{_tag('instrumentId')}").alias("instrument_isin"),
-        number(f"//{_tag('notionalAmount')}/{_tag('amount')}").alias("notional"),
-        find(f"//{_tag('notionalAmount')}/{_tag('currency')}").alias("currency"),
-        find(f"/trade/{_tag('tradeHeader')}/{_tag('tradeDate')}").alias("trade_date"),
-        find(f"//{_tag('settlementDate')}").alias("settlement_date"),
-        find(f"//{_tag('partyId')}[@partyIdScheme='{FPML_LEI_SCHEME}']")
-        .alias("counterparty_lei"),
-        number(f"//{_tag('initialPrice')}/{_tag('cleanPrice')}").alias("price"),
-        F.when(has_buyer, buyer).otherwise(F.lit("BUY")).alias("direction"),
-    )
+        _xpath_all("xml", [f"string({p})" for p in FPML_PATHS.values()]).alias("v"),
+        _xpath_all("xml", [f"boolean({FPML_PATHS[n]})" for n in FPML_DEFAULTS]).alias("has"))
+    texts = {name: F.get("v", F.lit(i)) for i, name in enumerate(FPML_PATHS)}
+    for i, (name, default) in enumerate(FPML_DEFAULTS.items()):
+        texts[name] = F.when(F.get("has", F.lit(i)) == "true", texts[name]).otherwise(default)
+    rows = found.select("path", *[
+        (text.try_cast(MONEY) if name in NUMBERS else text).alias(name)
+        for name, text in texts.items()])
     broken = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in NUMBERS]))
     return rows.withColumn("error", F.when(
         F.size(broken) > 0,
