@@ -190,7 +190,13 @@ FPML_PATHS = {
     "price": "//initialPrice/cleanPrice",
     "direction": "//buyerPartyReference/@href",
 }
-FPML_DEFAULTS = {"notional": "0", "price": "0", "direction": "BUY"}
+# Value of an absent field, and how its element begins; one that is there but empty
+# keeps its empty text
+FPML_DEFAULTS = {
+    "notional": ("0", r"(?s)<notionalAmount[\s>](?:(?!</notionalAmount>).)*<amount[\s/>]"),
+    "price": ("0", r"(?s)<initialPrice[\s>](?:(?!</initialPrice>).)*<cleanPrice[\s/>]"),
+    "direction": ("BUY", r"<buyerPartyReference\s[^>]*\bhref="),
+}
 
 
 def _xpath_all(xml: str, expressions: list[str]) -> Column:
@@ -220,15 +226,12 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
         .select("path", F.concat(F.lit("<trade>"), inner, F.lit("</trade>")).alias("xml"))
     )
 
-    # Few expressions per parse, for the XML library limits an expression's length.
-    # Fields with a default also report whether they are there.
     found = fragments.select(
-        "path",
-        _xpath_all("xml", [f"string({p})" for p in FPML_PATHS.values()]).alias("v"),
-        _xpath_all("xml", [f"boolean({FPML_PATHS[n]})" for n in FPML_DEFAULTS]).alias("has"))
+        "path", "xml", _xpath_all("xml", [f"string({p})" for p in FPML_PATHS.values()]).alias("v"))
     texts = {name: F.get("v", F.lit(i)) for i, name in enumerate(FPML_PATHS)}
-    for i, (name, default) in enumerate(FPML_DEFAULTS.items()):
-        texts[name] = F.when(F.get("has", F.lit(i)) == "true", texts[name]).otherwise(default)
+    for name, (default, begins) in FPML_DEFAULTS.items():
+        absent = (texts[name] == "") & ~F.col("xml").rlike(begins)
+        texts[name] = F.when(absent, default).otherwise(texts[name])
     rows = found.select("path", *[
         (text.try_cast(MONEY) if name in NUMBERS else text).alias(name)
         for name, text in texts.items()])
