@@ -11,6 +11,10 @@ from tradelake.schemas import EVENT_COLUMNS, REQUIRED_EVENT_FIELDS
 # that anything after the event's own closing brace is an error.
 _MARK = "end-of-event"
 
+_FIELDS = "struct<" + ",".join(
+    f"{name}:{'decimal(20,4)' if name == 'notional' else 'string'}" for name in EVENT_COLUMNS
+) + ",eventTimestamp:bigint,updatedAt:bigint>"
+
 # timestamp_millis raises outside this range (years 1 to 9999)
 _MIN_MILLIS, _MAX_MILLIS = -62135596800000, 253402300799999
 
@@ -20,16 +24,12 @@ def millis_to_ts(millis: Column) -> Column:
     return F.timestamp_millis(F.when(millis.between(_MIN_MILLIS, _MAX_MILLIS), millis))
 
 
-def missing_fields(variant: Column, required=tuple(REQUIRED_EVENT_FIELDS)) -> Column:
-    """Sorted names of ``required`` keys absent from the parsed event.
+def missing_fields(keys: Column, required=tuple(REQUIRED_EVENT_FIELDS)) -> Column:
+    """Sorted names of ``required`` keys absent from a parsed event's keys.
 
     A key that is present with a JSON null counts as present.
     """
-    absent = [
-        F.when(F.try_variant_get(variant, f"$.event.{name}", "variant").isNull(), F.lit(name))
-        for name in sorted(required)
-    ]
-    return F.array_compact(F.array(*absent))
+    return F.array_except(F.array(*[F.lit(name) for name in sorted(required)]), keys)
 
 
 def assign_event_time(df: DataFrame, millis: str = "event_millis",
@@ -44,41 +44,39 @@ def parse_events(df: DataFrame, value: str = "value", record_ts: str = "_record_
     The text is parsed one time into a VARIANT; numbers keep all their digits and
     numeric text is accepted wherever a number is.  Bad text never fails the job.
     """
-    def text(name):
-        return F.try_variant_get("_v", f"$.event.{name}", "string")
+    wrapped = F.concat(F.lit('{"event":'), F.col(value), F.lit(f',"{_MARK}":1}}'))
 
-    def number(name, dtype):
-        return F.try_variant_get("_v", f"$.event.{name}", dtype)
+    def keys_of(path):
+        return F.map_keys(F.try_variant_get("_v", path, "map<string,variant>"))
 
-    wrapped = F.concat(F.lit('{"event":'), F.col(value), F.lit(f',"{_MARK}":1}}'))
-    parsed = df.withColumn("_v", F.try_parse_json(wrapped))
-    members = F.try_variant_get("_v", "$", "map<string,variant>")
-    is_json = F.coalesce(F.size(members) == 2, F.lit(False)) & F.map_contains_key(
-        members, _MARK)
-    event = F.try_variant_get("_v", "$.event", "variant")
-    is_object = F.coalesce(F.schema_of_variant(event).startswith("OBJECT"), F.lit(False))
-    typed = parsed.select(
+    # Made by a generator, so that a filter on these columns stays above it; pushed
+    # below, it would parse the text again for every column it uses.
+    pieces = df.withColumn("_v", F.try_parse_json(wrapped)).select(F.inline(F.array(F.struct(
         F.col(value).alias("raw"),
         F.col(record_ts).cast("timestamp").alias("_record_ts"),
-        (~F.coalesce(is_json, F.lit(False))).alias("_bad_json"),
-        is_object.alias("_is_object"),
-        missing_fields(F.col("_v")).alias("_missing"),
-        *[text(src).alias(dst) for src, dst in EVENT_COLUMNS.items()
-          if src not in ("notional", "tradeDate", "settlementDate")],
-        number("notional", "decimal(20,4)").alias("notional"),
-        F.try_to_date(text("tradeDate")).alias("trade_date"),
-        F.try_to_date(text("settlementDate")).alias("settlement_date"),
-        number("eventTimestamp", "bigint").alias("event_millis"),
-        millis_to_ts(number("updatedAt", "bigint")).alias("updated_at"),
-    )
+        keys_of("$").alias("_outer"),
+        keys_of("$.event").alias("_keys"),
+        F.try_variant_get("_v", "$.event", _FIELDS).alias("_e"),
+    ))))
+    is_json = (F.size("_outer") == 2) & F.array_contains("_outer", _MARK)
+    missing = missing_fields(F.col("_keys"))
     reason = (
-        F.when(F.col("_bad_json"), F.lit("Malformed JSON"))
-        .when(~F.col("_is_object"), F.lit("Not a JSON object"))
-        .when(F.size("_missing") > 0,
-              F.concat(F.lit("Missing fields: {"), F.array_join("_missing", ", "), F.lit("}")))
-        .when(F.col("notional").isNull(), F.lit("Bad notional"))
+        F.when(~F.coalesce(is_json, F.lit(False)), F.lit("Malformed JSON"))
+        .when(F.col("_keys").isNull(), F.lit("Not a JSON object"))
+        .when(F.size(missing) > 0,
+              F.concat(F.lit("Missing fields: {"), F.array_join(missing, ", "), F.lit("}")))
+        .when(F.col("_e.notional").isNull(), F.lit("Bad notional"))
+    )
+    typed = pieces.select(
+        "raw", "_record_ts", reason.alias("reason"),
+        *[F.col(f"_e.{src}").alias(dst) for src, dst in EVENT_COLUMNS.items()
+          if src not in ("tradeDate", "settlementDate")],
+        F.try_to_date("_e.tradeDate").alias("trade_date"),
+        F.try_to_date("_e.settlementDate").alias("settlement_date"),
+        F.col("_e.eventTimestamp").alias("event_millis"),
+        millis_to_ts(F.col("_e.updatedAt")).alias("updated_at"),
     )
-    out = assign_event_time(typed.withColumn("reason", reason))
+    out = assign_event_time(typed)
     return out.select(
         "trade_id", "event_type", "instrument_id", "notional", "currency",
         F.coalesce("trade_date", F.to_date("event_ts")).alias("trade_date"),

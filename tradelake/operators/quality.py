@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.functions.arrays import non_null
 from tradelake.schemas import (
     ASSET_CLASSES,
     CURRENCY_PATTERN,
@@ -35,9 +36,8 @@ def trade_rules() -> dict[str, Column]:
 def failed_rules(rules: dict[str, Column] | None = None) -> Column:
     """Names of the rules a row breaks; an unknown (NULL) answer counts as broken."""
     rules = rules or trade_rules()
-    return F.array_compact(F.array(*[
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
-    ]))
+    return non_null([F.when(~F.coalesce(rule, F.lit(False)), F.lit(name))
+                     for name, rule in rules.items()])
 
 
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:

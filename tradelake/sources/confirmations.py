@@ -11,10 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.functions.arrays import non_null
 from tradelake.functions.envelope import to_keyed
 from tradelake.operators.dedup import latest
 from tradelake.operators.lookup import lookup
 from tradelake.schemas import CONFIRMATION, CONFIRMATION_CSV, FPML_LEI_SCHEME, MONEY
+from tradelake.session import stage
 
 NUMBERS = ("notional", "price")
 
@@ -114,7 +116,7 @@ def read_csv(spark: SparkSession, paths) -> DataFrame:
     )
     body = (reader.option("header", "true").csv(paths)
             .select(_file_path().alias("path"), cells.alias("values")))
-    return lookup(body, head, "path")
+    return lookup(body, stage(head, "headers"), "path")
 
 
 def _cell(source_name: Column) -> tuple[Column, Column]:
@@ -146,7 +148,7 @@ def apply_mapping(rows: DataFrame, mapping: DataFrame | None = None) -> DataFram
             texts[column] = number
         else:
             texts[column] = F.coalesce(text, F.lit(""))
-    broken = F.array_compact(F.array(*bad))
+    broken = non_null(bad)
     return rows.select(
         *[texts[f.name].alias(f.name) for f in CONFIRMATION.fields if f.name in texts],
         "source_file_id",
@@ -216,13 +218,13 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     pieces = (spark.read.option("lineSep", "trade>").text(paths)
               .select(_file_path().alias("path"), "value"))
     unclear = pieces.filter(F.col("value").rlike(_OTHER_TAG)).select("path").distinct()
-    malformed = malformed_xml(spark, paths).union(unclear).distinct()
+    malformed = stage(malformed_xml(spark, paths).union(unclear).distinct(), "malformed")
 
     inner = F.regexp_replace(F.regexp_replace("value", _OPEN_TAG, ""), _CLOSE_START, "")
     inner = F.regexp_replace(inner, _PREFIX, "$1")
+    ends = pieces.filter(F.col("value").rlike(_CLOSE_START))
     fragments = (
-        pieces.filter(F.col("value").rlike(_CLOSE_START))
-        .join(malformed, "path", "left_anti")
+        lookup(ends, malformed, "path", how="left_anti")
         .select("path", F.concat(F.lit("<trade>"), inner, F.lit("</trade>")).alias("xml"))
     )
 
@@ -235,7 +237,7 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     rows = found.select("path", *[
         (text.try_cast(MONEY) if name in NUMBERS else text).alias(name)
         for name, text in texts.items()])
-    broken = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in NUMBERS]))
+    broken = non_null([F.when(F.col(c).isNull(), F.lit(c)) for c in NUMBERS])
     return rows.withColumn("error", F.when(
         F.size(broken) > 0,
         F.concat(F.lit("Bad number: "), F.array_join(broken, ", ")))), malformed
@@ -354,7 +356,7 @@ def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000")
         near = F.abs(F.col(f"our_{c}") - F.col(f"their_{c}")) <= F.lit(tolerance).cast(MONEY)
         return ~(same | F.coalesce(near, F.lit(False)))
 
-    breaks = F.array_compact(F.array(*[F.when(differs(c), F.lit(c)) for c in compared]))
+    breaks = non_null([F.when(differs(c), F.lit(c)) for c in compared])
     found = F.col("_found").isNotNull()
     met = keyed.join(ours.withColumn("_found", F.lit(True)), "our_ref", "left")
     met = met.withColumns({
