@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +66,28 @@ def _paths(envelopes: DataFrame) -> list[str]:
     return [r["path"] for r in envelopes.select("path").distinct().collect()]
 
 
+def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist; only a list with a missing one is looked at in parts."""
+    if not paths:
+        return []
+    try:
+        spark.read.format("binaryFile").load(paths)
+        return paths
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(paths) == 1:
+        return []
+    half = len(paths) // 2
+    return _existing(spark, paths[:half]) + _existing(spark, paths[half:])
+
+
 def read_files(spark: SparkSession, envelopes: DataFrame) -> DataFrame:
     """(path, sha256) of every file that exists; contents stay in the reading task."""
-    paths = _paths(envelopes)
+    paths = _existing(spark, _paths(envelopes))
     if not paths:
         return spark.createDataFrame([], "path string, sha256 string")
-    return (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
+    return (spark.read.format("binaryFile").load(paths)
             .select("path", F.sha2("content", 256).alias("sha256")))
 
 
@@ -162,6 +179,7 @@ def apply_mapping(rows: DataFrame, mapping: DataFrame | None = None) -> DataFram
 _SEPARATOR = "\u001f"  # cannot occur in XML text
 _NAME = r"[A-Za-z_][-.\w]*"
 _OPEN_TAG = rf"(?s)^.*<(?:{_NAME}:)?trade\s[^>]*>"
+_ROOT = rf"(?s)^\ufeff?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<((?:{_NAME}:)?{_NAME})"
 _CLOSE_START = rf"</(?:{_NAME}:)?$"
 _PREFIX = rf"(</?){_NAME}:"
 _OTHER_TAG = rf"</?(?:{_NAME}:)?[-.\w]+$"
@@ -178,6 +196,23 @@ def malformed_xml(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def unclosed_xml(spark: SparkSession, pieces: DataFrame, paths) -> DataFrame:
+    """(path) of files without a root element or without its closing tag at the end.
+
+    The XML scan above looks for ``trade`` elements and does not mind a cut-off end.
+    ``pieces`` has path, value and place, the order of the pieces of a file.
+    """
+    ends = pieces.groupBy("path").agg(F.min_by("value", "place").alias("first"),
+                                      F.max_by("value", "place").alias("last"))
+    root = F.regexp_extract("first", _ROOT, 1)
+    closing = F.concat(F.lit("(?s)</"), root, F.lit(r"\s*>\s*(?:<!--.*?-->\s*)*$"))
+    closed = (root != "") & (root.endswith("trade") | F.regexp_like(F.col("last"), closing))
+    named = spark.createDataFrame([(p,) for p in paths], "path string").select(
+        _plain(F.col("path")).alias("path"))
+    return (named.join(ends.select("path", closed.alias("closed")), "path", "left")
+            .filter(~F.coalesce("closed", F.lit(False))).select("path"))
+
+
 # Where each field lies in a trade element, element prefixes taken off
 _IDENT = "/trade/tradeHeader/partyTradeIdentifier/tradeId"
 FPML_PATHS = {
@@ -216,9 +251,12 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     pieces = (spark.read.option("lineSep", "trade>").text(paths)
-              .select(_file_path().alias("path"), "value"))
+              .select(_file_path().alias("path"), "value", F.struct(
+                  F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("n")).alias("place")))
     unclear = pieces.filter(F.col("value").rlike(_OTHER_TAG)).select("path").distinct()
-    malformed = stage(malformed_xml(spark, paths).union(unclear).distinct(), "malformed")
+    malformed = stage(malformed_xml(spark, paths).union(unclear)
+                      .union(unclosed_xml(spark, pieces, paths)).distinct(), "malformed")
 
     inner = F.regexp_replace(F.regexp_replace("value", _OPEN_TAG, ""), _CLOSE_START, "")
     inner = F.regexp_replace(inner, _PREFIX, "$1")
