@@ -57,7 +57,7 @@ _VIEWS = {
                     ELSE TIMESTAMP '1998-06-01' END AS valid_from,
                CASE WHEN v.old THEN TIMESTAMP '1998-06-01' END AS valid_to
         FROM part JOIN (VALUES (true), (false)) v(old) ON NOT v.old OR p_partkey % 2 = 0
-        WHERE p_partkey % 50 <> 0""",
+        WHERE p_size <> 50""",
     "traders": """
         SELECT 'T' || s_suppkey AS trader_id, s_name AS trader_name, 'DESK_' || (s_suppkey % 8) AS desk
         FROM supplier""",
