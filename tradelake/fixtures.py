@@ -43,7 +43,8 @@ def trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = (F.when(F.col("l_returnflag") == "N", "NEW").when(F.col("l_returnflag") == "A", "AMEND")
              .when(F.col("l_linestatus") == "O", "CANCEL").otherwise("SETTLE"))
     lines = table(spark, sf_dir, "lineitem")
-    joined = lines.join(_orders_with_region(spark, sf_dir),
+    # both sides grow with the data: always join them by a shuffle, never by a broadcast
+    joined = lines.join(_orders_with_region(spark, sf_dir).hint("shuffle_merge"),
                         F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
