@@ -17,10 +17,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """All but the text operators, which have tests of their own."""
+    assert set(entry.QUERIES) == set(entry.ORACLE)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE))
 def test_query(spark, con, name):
     assert compare(name, entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
 
