@@ -42,7 +42,8 @@ def substrings(rows, window=13):
 
 def byte_spans(rows, least=100):
     """rows of (doc_id, text) -> (doc_id, n_bytes, kept bytes, spans)"""
-    data = [(rank(i), n, (t or "").encode()) for n, (i, t) in enumerate(rows)]
+    place = {n: at for at, n in enumerate(sorted(range(len(rows)), key=lambda n: (rank(rows[n][0]), rows[n][1] or "")))}
+    data = [(place[n], n, (t or "").encode()) for n, (i, t) in enumerate(rows)]
     first = {}
     for r, _, b in data:
         for p in range(len(b) - least + 1):

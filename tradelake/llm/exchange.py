@@ -41,9 +41,13 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def ranked(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """The chunk in the order of doc_id, rows without one last, and the ranks of its rows."""
-    ids = table.column("doc_id").combine_chunks().fill_null(int(LAST_RANK)).to_numpy(zero_copy_only=False)
+    """The chunk in the order of doc_id, rows without one last, and the ranks of its rows.  Rows that
+    share an id come in the order of their texts, so that each stage sees the same order."""
+    ids = pa.compute.fill_null(table.column("doc_id"), int(LAST_RANK)).to_numpy()
     order = np.argsort(ids, kind="stable")
+    if (np.diff(ids[order]) == 0).any():
+        texts = np.array(table.column("text").to_pylist(), object)
+        order = np.array(sorted(order, key=lambda i: (ids[i], texts[i] is not None, texts[i] or "")))
     return table.take(pa.array(order)), ids[order]
 
 
