@@ -58,3 +58,42 @@ def byte_spans(rows, least=100):
         spans = [m.span() for m in re.finditer(b"\1+", bytes(gone))]
         out.append((doc_id, len(b), bytes(x for x, g in zip(b, gone) if not g), spans))
     return out
+
+
+def shingles(text, k=5):
+    w = space_words(text)
+    out = {}
+    for i in range(max(1, len(w) - k + 1) if w else 0):
+        key = tuple(w[i:i + k])
+        out[key] = out.get(key, 0) + 1
+    return out
+
+
+def probability_jaccard(x, y):
+    union = set(x) | set(y)
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in union) for d in set(x) & set(y))
+
+
+def groups(rows, threshold=0.8):
+    """rows of (doc_id, text) -> sorted (doc_id, class_id, copies)"""
+    texts = sorted({t or "" for _, t in rows})
+    sets = [shingles(t) for t in texts]
+    head = list(range(len(texts)))
+
+    def root(i):
+        while head[i] != i:
+            i = head[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and len(a.keys() & b.keys()) and root(i) != root(j) and probability_jaccard(a, b) >= threshold:
+                head[root(i)] = root(j)
+    number = {t: root(i) for i, t in enumerate(texts)}
+    least, copies = {}, {}
+    for doc_id, text in rows:
+        g = number[text or ""]
+        least[g] = min(least.get(g, LAST), rank(doc_id))
+        copies[text or ""] = copies.get(text or "", 0) + 1
+    return [(i, None if least[number[t or ""]] == LAST else least[number[t or ""]], copies[t or ""]) for i, t in rows]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, substrings, suffixes
+from tradelake.llm import bpe, minhash, substrings, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,6 +41,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
