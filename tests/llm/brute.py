@@ -97,3 +97,36 @@ def groups(rows, threshold=0.8):
         least[g] = min(least.get(g, LAST), rank(doc_id))
         copies[text or ""] = copies.get(text or "", 0) + 1
     return [(i, None if least[number[t or ""]] == LAST else least[number[t or ""]], copies[t or ""]) for i, t in rows]
+
+
+def counts(row):
+    doc_id, text = row[0], row[1] or ""
+    w = space_words(text)
+    grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    often = {g for g in grams if grams.count(g) > 1}
+    covered = {i + j for i, g in enumerate(grams) if g in often for j in range(3)}
+    lines = [x for x in text.split("\n") if space_words(x)]
+    return (doc_id, len(w), len("".join(w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+            len(w) < 50 or 100 * len(covered) > 50 * len(w))
+
+
+def bench_words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def contamination(row, items, window=13):
+    doc_id, text = row
+    w, hit, found = bench_words(text), set(), set()
+    for item_id, item in items:
+        own = bench_words(item)
+        n = min(window, len(own))
+        if not n:
+            continue
+        spans = {tuple(own[i:i + n]) for i in range(len(own) - n + 1)}
+        for i in range(len(w) - n + 1):
+            if tuple(w[i:i + n]) in spans:
+                hit |= set(range(i, i + n))
+                found |= {str(item_id)} if item_id is not None else set()
+    spans = [m.span() for m in re.finditer("x+", "".join("x" if i in hit else "." for i in range(len(w))))]
+    return doc_id, len(w), len(hit), tuple(sorted(found)), len(hit) > 0 and 20 * len(hit) >= len(w), tuple(spans)

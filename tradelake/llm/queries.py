@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, minhash, substrings, suffixes
+from tradelake.llm import bpe, minhash, rules, substrings, suffixes, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,21 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.counted(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.repeated_strings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -42,8 +52,66 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_decontamination": op3_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP9_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+g AS (SELECT row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+      FROM d, unnest(generate_series(1, len(w) - 2)) AS t(i)),
+r AS (SELECT row, i FROM g QUALIFY count(*) OVER (PARTITION BY row, gram) > 1),
+n AS (SELECT row, count(DISTINCT i + j) AS n FROM r, (VALUES (0), (1), (2)) AS o(j) GROUP BY row),
+l AS (SELECT row, count(*) - count(DISTINCT line) AS n
+      FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row),
+c AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(n.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN n USING (row) LEFT JOIN l USING (row)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT *, NOT base_failed AND NOT (n_symbols > n_words OR 10 * n_dup_lines > n_words
+                                   OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b
+"""
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+                  regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS span
+      FROM b, unnest(generate_series(1, greatest(1, len(w) - 12))) AS t(i) WHERE len(w) > 0),
+k AS (SELECT DISTINCT n FROM s),
+p AS (SELECT row, i, n, array_to_string(w[i:i + n - 1], ' ') AS span
+      FROM d, k, unnest(generate_series(1, len(w) - n + 1)) AS t(i)),
+f AS (SELECT p.row, p.i, p.n, s.item_id FROM p JOIN s USING (n, span)),
+h AS (SELECT row, count(DISTINCT i + j)::BIGINT AS n_hit FROM f, unnest(generate_series(0, n - 1)) AS t(j) GROUP BY row),
+m AS (SELECT row, count(*)::BIGINT AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT row, item_id::VARCHAR AS item_id FROM f) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (row) LEFT JOIN m USING (row)
+"""
+
+OP6_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {WORDS} AS w FROM documents),
+p AS (SELECT row, doc_id, i, array_to_string(w[i:i + 12], ' ') AS span FROM d, unnest(generate_series(1, len(w) - 12)) AS t(i)),
+f AS (SELECT row, i FROM p QUALIFY min(doc_id) OVER (PARTITION BY span) < doc_id),
+c AS (SELECT DISTINCT row, i + j AS i FROM f, unnest(generate_series(0, 12)) AS t(j)),
+u AS (SELECT row, i, w[i] AS word, c.i IS NOT NULL AS gone
+      FROM (SELECT row, w, unnest(generate_series(1, len(w))) AS i FROM d) LEFT JOIN c USING (row, i)),
+k AS (SELECT row, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM u GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (row)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": OP3_SQL,
+    "op6_substring_dedup": OP6_SQL,
+    "op9_quality_rules": OP9_SQL,
+}
