@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, minhash, rules, substrings, suffixes, winnowing
+from tradelake.llm import bpe, minhash, resharding, rules, substrings, suffixes, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the files the table has to eight shards of equal bytes."""
+    dealt = resharding.reshard(resharding.file_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "_metadata")), 8)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    narrow = dealt.select("doc_id", resharding.size_of(F.col("text")).alias("size"), crc, "shard", "block", "base")
+    return resharding.slots(narrow, "doc_id", "text_crc32").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -53,6 +62,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_resharding": op4_resharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
