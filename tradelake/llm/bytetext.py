@@ -110,17 +110,29 @@ def space_table() -> np.ndarray:
     return table
 
 
+@lru_cache(None)
+def sign_table() -> np.ndarray:
+    """True for all of ASCII but letters and digits."""
+    table = np.zeros(256, bool)
+    table[:128] = True
+    table[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]] = False
+    return table
+
+
 class Words:
-    """The words of a column of texts: runs of bytes that are not white space.
+    """The words of a column of texts: runs of bytes that are no gaps, by default no white space.
+    ``lower`` turns A-Z into lower case.
 
     ``starts`` and ``ends`` are byte positions, ``doc`` is the row of each word, and the words
     of row i are numbers ``first[i]`` to ``first[i + 1]``.
     """
 
-    def __init__(self, column: pa.Array | pa.ChunkedArray):
+    def __init__(self, column: pa.Array | pa.ChunkedArray, gaps: np.ndarray | None = None, lower: bool = False):
         self.data, self.offsets = text_bytes(column)
+        if lower:
+            self.data = self.data + np.uint8(32) * ((self.data >= 65) & (self.data <= 90))
         n, rows = len(self.data), len(self.offsets) - 1
-        inside = ~space_table()[self.data]
+        inside = ~(space_table() if gaps is None else gaps)[self.data]
         edge = np.empty(n, bool)
         if n:
             edge[0] = inside[0]

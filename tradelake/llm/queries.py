@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, minhash, resharding, rules, substrings, suffixes, winnowing
+from tradelake.llm import bpe, minhash, quality, resharding, rules, substrings, suffixes, toxicity, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,19 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("grade"))
+    sample = toxicity.with_severity(toxicity.labelled(docs, labels))
+    return toxicity.graded(docs, toxicity.train(sample))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, _ = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.counted(table(spark, sf_dir, "documents"))
 
@@ -64,6 +77,8 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_resharding": op4_resharding,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
