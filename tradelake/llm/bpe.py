@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -207,7 +207,7 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def encode_decode(docs: DataFrame, ranks_path: str, with_tokens: bool = True) -> DataFrame:
+def encode_decode(docs: DataFrame, ranks_path: str, with_tokens: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Encodes each text and decodes its tokens again.
 
     Returns per row of ``docs``: doc_id, the tokens (null unless ``with_tokens``), their number, the
@@ -233,8 +233,11 @@ def encode_decode(docs: DataFrame, ranks_path: str, with_tokens: bool = True) ->
                 batch.column(0), own if with_tokens else pa.nulls(batch.num_rows, own.type),
                 pa.array(np.diff(offsets)),
                 pa.array([hashlib.sha256(raw[i:j]).hexdigest() for i, j in zip(at[:-1], at[1:])], pa.string()),
-                bt.string_array(decoded, ends, pa.binary())],
-                ["doc_id", "tokens", "n_tokens", "ids_sha256", "decoded"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, OUT_SCHEMA)
+                bt.string_array(decoded, ends, pa.binary()), *(batch.column(2 + i) for i in range(len(carry)))],
+                ["doc_id", "tokens", "n_tokens", "ids_sha256", "decoded", *carried])
+
+    carried = [f"carry_{i}" for i in range(len(carry))]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *(F.col(c).alias(own) for c, own in zip(carry, carried)))
+    schema = ", ".join([OUT_SCHEMA, *(f"{own} {docs.schema[c].dataType.simpleString()}" for c, own in zip(carry, carried))])
+    return rows.mapInArrow(run, schema).withColumnsRenamed(dict(zip(carried, carry)))

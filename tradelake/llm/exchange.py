@@ -9,6 +9,8 @@ once per chunk, not once per document.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +30,13 @@ def chunk_of(doc_id: Column, text: Column) -> Column:
         F.floor(doc_id / F.lit(CHUNK_DOCS)).cast("long"))
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """(chunk, doc_id, text) of all rows, whatever else the table holds."""
+def chunked(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """(chunk, doc_id, text) of all rows, whatever else the table holds; ``carry`` names columns to bring
+    along, as carry_0, carry_1 and so on."""
     ship(docs.sparkSession)
     ids, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(chunk_of(ids, text).alias("chunk"), ids.alias("doc_id"), text.alias("text"))
+    return docs.select(chunk_of(ids, text).alias("chunk"), ids.alias("doc_id"), text.alias("text"),
+                       *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
 
 
 def bucket_count(spark: SparkSession) -> int:

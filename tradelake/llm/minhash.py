@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.llm import bytetext as bt
@@ -204,6 +204,22 @@ def link_texts(rows: DataFrame, threshold: float, bands: int, slots: int) -> Dat
         groups = components(links)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text")), F.xxhash64(text)
+
+
+def _members(own: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """(key, copies, class_id, of_head) of each text; of_head: it is the text of the row that stands for its group."""
+    groups = link_texts(own.select("key", "text"), threshold, bands, rows)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    named = own.groupBy("key").agg(F.min(order).alias("least"), F.count("*").alias("copies"))
+    named = named.join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    heads = named.groupBy("group").agg(F.min("least").alias("head"))
+    return named.join(heads, "group").select(
+        "key", "copies", F.col("head.doc_id").alias("class_id"), (F.col("head.key") == F.col("key")).alias("of_head"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Groups documents by similar text.
 
@@ -220,14 +236,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     band once in 20 million; rounds of pairs go on until one finds no new link.
     """
     ship(docs.sparkSession)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    groups = link_texts(own.select("key", "text"), threshold, bands, rows)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
-    named = own.groupBy("key").agg(F.min(order).alias("least"), F.count("*").alias("copies"))
-    named = named.join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
-    heads = named.groupBy("group").agg(F.min("least").alias("head"))
-    member = named.join(heads, "group").select(
-        "key", "copies", F.col("head.doc_id").alias("class_id"), (F.col("head.key") == F.col("key")).alias("of_head"))
-    return own.select("doc_id", "key").join(member, "key").select(
+    own, _ = _keyed(docs)
+    return own.select("doc_id", "key").join(_members(own, threshold, bands, rows), "key").select(
         "doc_id", "class_id", "copies", (F.col("of_head") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("first"))
+
+
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row of each group of ``near_duplicates``, whole: the one with the least doc_id; of rows that are equal in
+    doc_id and text, any."""
+    ship(docs.sparkSession)
+    own, key = _keyed(docs)
+    heads = _members(own, threshold, bands, rows).filter("of_head").select(F.col("key").alias("_key"), F.col("class_id").alias("_class"))
+    kept = docs.withColumn("_key", key).join(heads, "_key").filter(F.col("doc_id").cast("long").eqNullSafe(F.col("_class")))
+    return kept.dropDuplicates(["_key", "doc_id"]).select(*docs.columns)

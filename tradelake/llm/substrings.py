@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +24,7 @@ def _chunk_windows(table: pa.Table, window: int):
     return table, words, at, classes, ranks[words.doc[at]]
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
     """Removes words that an earlier document already holds in a window of ``window`` words.
 
     Returns per row of ``docs``: doc_id, n_words, n_removed, the kept words joined by one space
@@ -30,12 +32,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     a window whose words also stand in a document with a smaller doc_id; repeats within one
     document stay.  Null and empty texts have no words.  Rows without doc_id count as the last
     documents; rows that share a doc_id do not remove each other's words.  Other columns are
-    not looked at.  Two hashes of 64 bits stand for two windows: equal hashes are taken as
+    not looked at; those named in ``carry`` come out as they went in, after the rest.  Two hashes of 64 bits stand for two windows: equal hashes are taken as
     equal words.
     """
     spark = docs.sparkSession
     n = ex.bucket_count(spark)
-    rows = ex.chunked(docs)
+    full = ex.chunked(docs, carry)
+    rows = full.select("chunk", "doc_id", "text")
+    out_schema = ", ".join([OUT_SCHEMA, *(f"carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))])
 
     def report(table: pa.Table) -> pa.Table:
         """One block per bucket: the chunk's distinct windows, each with its first document."""
@@ -76,8 +80,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             "n_words": pa.array(np.diff(words.first), pa.int64()),
             "n_removed": pa.array(np.diff(counts), pa.int64()),
             "kept": bt.string_array(text, offsets),
-            "spans": bt.span_lists(starts, ends, first, words.first)})
+            "spans": bt.span_lists(starts, ends, first, words.first),
+            **{f"carry_{i}": table.column(f"carry_{i}") for i in range(len(carry))}})
 
     blocks = rows.groupBy("chunk").applyInArrow(report, BLOCK_SCHEMA)
     marks = blocks.groupBy("bucket").applyInArrow(compare, ex.BITS_SCHEMA)
-    return rows.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(remove, OUT_SCHEMA)
+    out = full.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(remove, out_schema)
+    return out.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})

@@ -65,20 +65,14 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
     return long.unionAll(short).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
-    """How far each document holds windows of benchmark items.
-
-    Returns per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence of a window), item_ids
-    (items with an occurring window, as sorted strings), hits (the maximal hit spans as word numbers
-    [start, end)) and contaminated (some word is hit, and hit words make ``percent`` of all or more).
-    A window is ``window`` neighbouring words of an item; an item of fewer words, but not none, is one
-    window.  Null and empty texts have no words and are never contaminated.  Results depend on
-    the text alone, so ties, repeated rows and rows without doc_id are no special case;
-    other columns are not looked at.  An empty benchmark hits nothing.
-    """
+def _worded(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", F.md5("text").alias("digest"), words(F.col("text")).alias("w"))
+    return rows.select("doc_id", F.md5("text").alias("digest"), words(F.col("text")).alias("w"))
+
+
+def _hits(rows: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """(digest, item_ids, hits, n_words, n_hit) of the texts that hold a window."""
     bench = stage(windows_of(items, window), "windows")
     lengths = sorted(r.length for r in bench.select("length").distinct().collect())  # at most ``window`` numbers
     if not lengths:
@@ -109,10 +103,36 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, perce
             F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))))
         .otherwise(F.concat(done, F.array(F.struct(x["at"].alias("start"), x["end"].alias("end"))))))
     hits = hits.select("digest", "item_ids", merged.alias("hits"))
+    n_hit = F.aggregate("hits", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("long")
+    return hits.join(suspects.select("digest", F.size("w").alias("n_words")), "digest").withColumn("n_hit", n_hit)
+
+
+def _too_much(percent: int) -> Column:
+    return (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
+    """How far each document holds windows of benchmark items.
+
+    Returns per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence of a window), item_ids
+    (items with an occurring window, as sorted strings), hits (the maximal hit spans as word numbers
+    [start, end)) and contaminated (some word is hit, and hit words make ``percent`` of all or more).
+    A window is ``window`` neighbouring words of an item; an item of fewer words, but not none, is one
+    window.  Null and empty texts have no words and are never contaminated.  Results depend on
+    the text alone, so ties, repeated rows and rows without doc_id are no special case;
+    other columns are not looked at.  An empty benchmark hits nothing.
+    """
+    rows = _worded(docs)
+    hits = _hits(rows, items, window).drop("n_words")
     out = rows.select("doc_id", "digest", F.size("w").cast("long").alias("n_words")).join(hits, "digest", "left")
-    n_hit = F.coalesce(F.aggregate("hits", F.lit(0), lambda a, x: a + x["end"] - x["start"]), F.lit(0)).cast("long")
-    out = out.withColumn("n_hit", n_hit)
+    out = out.withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     return out.select(
         "doc_id", "n_words", "n_hit", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        F.coalesce("hits", F.array().cast("array<struct<start:int,end:int>>")).alias("hits"),
-        ((F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))).alias("contaminated"))
+        F.coalesce("hits", F.array().cast("array<struct<start:int,end:int>>")).alias("hits"), _too_much(percent).alias("contaminated"))
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, whole and unchanged."""
+    bad = _hits(_worded(docs), items, window).filter(_too_much(percent)).select(F.col("digest").alias("_digest"))
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.withColumn("_digest", digest).join(bad, "_digest", "left_anti").select(*docs.columns)
