@@ -11,6 +11,7 @@ work is a few arrivals per slot and one per shingle, not slots times shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from tradelake.session import stage
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
+SALTS = 3
 U64 = np.uint64
 
 
@@ -141,67 +143,94 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(key, group) of all keys in ``links`` (a, b): the least key that links reach.
 
-    Each round links every key to the least key next to it and that key's neighbours likewise, so
-    chains halve; a round's links are written to the shared folder before the next reads them.
+    Each round moves every larger neighbour of a key to its least neighbour, then every smaller one
+    likewise, so chains halve; a round's links are written to the shared folder before the next reads them.
     """
     edges = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
+    seen = None
     while True:
-        # large star: every larger neighbour of a key moves to the key's least neighbour
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # small star: every smaller neighbour, and the key, move to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
-        small = stage(small, "links")
-        changed = small.join(edges, ["a", "b"], "left_anti").limit(1).count() or edges.join(small, ["a", "b"], "left_anti").limit(1).count()
-        edges = small
-        if not changed:
+        small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).filter("a > b")
+        edges = stage(small.distinct(), "links")
+        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == seen:
             break
+        seen = now
     groups = edges.groupBy("a").agg(F.min("b").alias("g")).select(F.col("a").alias("key"), F.col("g").alias("group"))
     return groups.unionAll(groups.select(F.col("group").alias("key"), "group").distinct())
 
 
+def joined_groups(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``groups`` (key, group) after some more links: only the groups that these touch are worked on."""
+    if groups is None:
+        return stage(components(links), "groups")
+    name = [groups.select(F.col("key").alias(c), F.col("group").alias(f"group_{c}")) for c in "ab"]
+    named = links.join(name[0], "a", "left").join(name[1], "b", "left").select(
+        F.coalesce("group_a", "a").alias("a"), F.coalesce("group_b", "b").alias("b"))
+    moved = stage(components(named), "moved").select(F.col("key").alias("group"), F.col("group").alias("to"))
+    old = groups.join(moved, "group", "left").select("key", F.coalesce("to", "group").alias("group"))
+    # keys that had no group before: those the new links name themselves
+    fresh = moved.join(groups.select("group").distinct(), "group", "left_anti").select(F.col("group").alias("key"), F.col("to").alias("group"))
+    return stage(old.unionAll(fresh), "groups")
+
+
 def candidates(labelled: DataFrame, salt: int) -> DataFrame:
     """Pairs (a, b), a < b, of keys in one bucket that do not bear one label yet.
 
     Each label is stood for by one of its keys, another one in each round, and a bucket's labels are
-    paired with its least key and with their neighbour in an order by hash: two pairs a label.  A
-    bucket with very many labels is ordered in parts, so that no task sorts it whole.
+    paired with its most central key and with their neighbour in an order by hash: two pairs a
+    label.  A bucket with very many labels is ordered in parts, so that no task sorts it whole.
     """
-    pick = F.struct(F.xxhash64("key", F.lit(salt)).alias("order"), "key")
-    heads = labelled.groupBy("band", "value", "label").agg(F.min(pick).alias("head")).select(
-        "band", "value", F.col("head.order").alias("order"), F.col("head.key").alias("key"))
-    buckets = heads.groupBy("band", "value").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    pick = F.struct(F.xxhash64("key", F.lit(salt)).alias("order"), "key", "central")
+    heads = labelled.groupBy("band", "value", "label").agg(F.min(pick).alias("head")).select("band", "value", "head.*")
+    hub = F.max(F.struct("central", "key")).alias("hub")
+    buckets = heads.groupBy("band", "value").agg(hub, F.count("*").alias("n")).filter("n > 1")
     shared = heads.join(buckets, ["band", "value"])
-    star = shared.filter("key > least").select(F.col("least").alias("a"), F.col("key").alias("b"))
     part = F.pmod("order", F.ceil(F.col("n") / 4096))
     before = F.lag("key").over(Window.partitionBy("band", "value", part).orderBy("order"))
-    chain = shared.select("key", before.alias("before")).filter("before is not null").select(
-        F.least("key", "before").alias("a"), F.greatest("key", "before").alias("b"))
-    return star.unionAll(chain).distinct()
+    star = shared.filter("key != hub.key").select(F.col("hub.key").alias("other"), "key")
+    chain = shared.select(before.alias("other"), "key").filter("other is not null")
+    return star.unionAll(chain).select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+
+
+def _mixed(values: DataFrame, groups: DataFrame) -> DataFrame:
+    """``values`` with the labels that keys bear now, as far as a bucket has several: groups only grow, so the
+    others are done for good."""
+    label = values.select("key", "band", "value", "central").join(groups, "key", "left")
+    label = label.withColumn("label", F.coalesce("group", "key")).drop("group")
+    mixed = label.groupBy("band", "value").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
+    return label.join(mixed.select("band", "value"), ["band", "value"], "left_semi")
 
 
 def link_texts(rows: DataFrame, threshold: float, bands: int, slots: int) -> DataFrame:
     """(key, group) of the texts (key, text) that have a similar one."""
-    values = sketch(rows, bands, slots)
+    values = stage(sketch(rows, bands, slots), "bands")
     often = values.groupBy("band", "value").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most")
     values = stage(values.join(often.select("band", "value"), ["band", "value"], "left_semi").distinct(), "buckets")
-    texts = stage(rows.join(values.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts")
-    # a first pair for each text; most texts have found their group then
-    pairs = candidates(values.withColumn("label", F.col("key")), 0).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    tested = stage(pairs, "pairs")
-    links = stage(verify(tested, texts, threshold), "verified")
-    groups, salt = components(links), 0
+    # a text that many others are copies of meets more of them than these meet each other
+    sizes = values.groupBy("band", "value").agg(F.count("*").alias("n"))
+    central = values.join(sizes, ["band", "value"]).groupBy("key").agg(F.sum("n").alias("central"))
+    values = stage(values.join(central, "key"), "buckets")
+    texts = stage(rows.join(central.select("key"), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    # first one pair for each text, with the most central text it meets; most find their group by that
+    hubs = values.groupBy("band", "value").agg(F.max(F.struct("central", "key")).alias("hub"))
+    best = values.join(hubs, ["band", "value"]).filter("key != hub.key").groupBy("key").agg(F.max("hub").alias("hub"))
+    pairs = best.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+    groups, tested, salt = None, None, 0
     while True:
-        salt += 1
-        label = values.join(groups, "key", "left").withColumn("label", F.coalesce("group", "key"))
-        pairs = stage(candidates(label, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = stage(verify(pairs, texts, threshold), "verified")
-        if more.isEmpty():
+        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = stage(verify(pairs, texts, threshold), "verified")
+        if groups is not None and links.isEmpty():
             return groups
-        tested, links = tested.unionAll(pairs), links.unionAll(more)
-        groups = components(links)
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        groups = joined_groups(groups, links)
+        values = stage(_mixed(values, groups), "buckets")
+        rows.sparkSession._jvm.System.gc()  # Spark drops shuffle files of past rounds when the driver collects garbage
+        pairs = reduce(DataFrame.unionAll, [candidates(values, s) for s in range(salt, salt + SALTS)]).distinct()
+        salt += SALTS
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
