@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, minhash, quality, resharding, rules, substrings, suffixes, toxicity, winnowing
+from tradelake.llm import bpe, minhash, quality, resharding, rollups, rules, substrings, suffixes, toxicity, winnowing
+from tradelake.session import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,30 @@ def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+TOKENIZERS = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a load, a second tokenizer, deletions, their return as revised rows, and repeated batches."""
+    import public_tokenizers as public
+
+    versions = {name: (public.path(name), public.PATTERN) for name in TOKENIZERS}
+    counts = stage(rollups.count_tokens(table(spark, sf_dir, "documents"), versions), "counts")
+    first, second = (counts.filter(F.col("version") == v) for v in TOKENIZERS)
+    leaving = counts.filter("source = 'src1'")
+    totals = rollups.Rollup(spark)
+    totals.commit("load", rollups.inserted(first))
+    totals.commit("second tokenizer", rollups.inserted(second))
+    totals.commit("takedown", rollups.deleted(leaving))
+    totals.commit("second tokenizer", rollups.inserted(second))
+    totals.commit("moved", rollups.revised(first, first.withColumn("source", F.lit("moved"))))
+    totals.commit("moved back", rollups.revised(first.withColumn("source", F.lit("moved")), first))
+    totals.compact()
+    totals.commit("takedown", rollups.deleted(leaving))
+    totals.commit("appeal", rollups.inserted(leaving))
+    return totals.totals()
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -76,6 +101,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_resharding": op4_resharding,
+    "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
