@@ -157,6 +157,8 @@ def test_d07_incremental(spark):
     assert ids(marts.incremental_slice(source, target.limit(0))) == ["a", "b", "c"]
     assert ids(marts.incremental_slice(source, None)) == ["a", "b", "c"]
     assert ids(marts.incremental_slice(source, target, lookback="1 day")) == ["b", "c"]
+    timeless = source.withColumn("updated_at", F.when(F.col("trade_id") != "a", F.col("updated_at")))
+    assert ids(marts.incremental_slice(timeless, target)) == ["a", "c"]
 
 
 def test_d27_daily_pnl(spark):

@@ -39,8 +39,8 @@ def test_d02_null_currency_or_status_is_quarantined(spark):
 
 def test_run_metrics_and_gate(spark):
     df = trades(spark, trade(), trade(currency=None), trade(status=None))
-    valid, invalid = quality.validate(df)
-    assert tuple(quality.run_metrics(valid, invalid).first()) == (1, 2)
+    valid, _ = quality.validate(df)
+    assert tuple(quality.run_metrics(df).first()) == (1, 2)
     assert tuple(quality.backlog_gate(df, valid, 2).first()) == (3, 1, 2, True)
     assert tuple(quality.backlog_gate(df, valid, 1).first()) == (3, 1, 2, False)
 

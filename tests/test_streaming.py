@@ -124,6 +124,18 @@ def test_upsert_from_a_stream_is_repeatable(spark, tmp_path, new_path):
         assert got == {"E1": Decimal("9.0000"), "E2": Decimal("1.5000")}
 
 
+def test_rows_without_a_key_are_set_aside(spark, tmp_path, new_path):
+    src, table = tmp_path / "in", new_path("table")
+    put(src, "1", event(1, 10), event(2, 20), event(3, 30))
+    valid, _ = valid_stream(spark, src)
+    rows = valid.withColumns({"asset_class": F.lit("FX"),
+                              "event_type": F.when(F.col("trade_id") != "E2", F.lit("NEW"))})
+    for checkpoint in (new_path("c"), new_path("c")):
+        run(streaming.upsert_to_table(rows, table, checkpoint, ONCE))
+        assert {r.trade_id for r in spark.read.parquet(table).collect()} == {"E1", "E3"}
+        assert [r.trade_id for r in spark.read.parquet(f"{table}-keyless").collect()] == ["E2"]
+
+
 def test_redelivered_events_are_dropped(spark, tmp_path, new_path):
     src, out = tmp_path / "in", new_path("once")
     put(src, "1", event(1, 10), event(1, 10), event(1, 11))

@@ -40,10 +40,13 @@ def failed_rules(rules: dict[str, Column] | None = None) -> Column:
                      for name, rule in rules.items()])
 
 
+def _passes() -> Column:
+    return F.coalesce(reduce(lambda a, b: a & b, trade_rules().values()), F.lit(False))
+
+
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid); invalid rows carry a reason and the broken rules. Nothing is lost."""
-    ok = reduce(lambda a, b: a & b, trade_rules().values())
-    ok = F.coalesce(ok, F.lit(False))
+    ok = _passes()
     invalid = (
         df.filter(~ok)
         .withColumn("quarantine_reason", F.lit(QUARANTINE_REASON))
@@ -62,9 +65,10 @@ def _counts(**frames: DataFrame) -> DataFrame:
         *[F.count_if(F.col("name") == name).alias(name) for name in names])
 
 
-def run_metrics(valid: DataFrame, invalid: DataFrame) -> DataFrame:
-    """(valid_count, quarantined_count)."""
-    return _counts(valid_count=valid, quarantined_count=invalid)
+def run_metrics(df: DataFrame) -> DataFrame:
+    """(valid_count, quarantined_count) of rows that are not split yet, in one pass."""
+    return df.agg(F.count_if(_passes()).alias("valid_count"),
+                  F.count_if(~_passes()).alias("quarantined_count"))
 
 
 def observed(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:

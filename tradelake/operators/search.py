@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from tradelake.operators import dedup
 from tradelake.operators.enrich import current
 from tradelake.schemas import INSTRUMENT_ROW, TRADE_KEY, TRADE_ROW
+from tradelake.session import stage
 
-PAGE_CAP = 1000
-NESTED_CAP = 500
-# Up to this many rows are skipped by a plain sorted take.
-DIRECT_SKIP = 100_000
+# The most rows that a page and a nested list may have; more than that is refused.
+PAGE_MAX = 1000
+NESTED_MAX = 500
+STEP = ["updated_at", "event_type", "status", "notional"]
 
 
-def _page_size(limit: int) -> int:
-    if limit < 1:
-        raise ValueError("limit must be at least 1")
-    return min(limit, PAGE_CAP)
+def _checked(limit: int, most: int) -> int:
+    if not 1 <= limit <= most:
+        raise ValueError(f"limit must be between 1 and {most}")
+    return limit
 
 
 def as_trade_rows(df: DataFrame, extra=()) -> DataFrame:
@@ -45,10 +46,15 @@ def matching(df: DataFrame, from_date, to_date, asset_class=None, desk=None, boo
     return out
 
 
+def _above(col: str, value) -> Column:
+    return F.col(col).isNotNull() if value is None else F.col(col) > value
+
+
 def _after(cursor) -> Column:
+    """Rows behind the cursor; a NULL sorts before all values, as in ``orderBy``."""
     trade_id, event_type = cursor
-    return (F.col("trade_id") > trade_id) | (
-        (F.col("trade_id") == trade_id) & (F.col("event_type") > event_type))
+    return F.coalesce(_above("trade_id", trade_id) | (
+        F.col("trade_id").eqNullSafe(trade_id) & _above("event_type", event_type)), F.lit(False))
 
 
 def search_trades(df: DataFrame, from_date, to_date, asset_class=None, desk=None, book_id=None,
@@ -57,7 +63,7 @@ def search_trades(df: DataFrame, from_date, to_date, asset_class=None, desk=None
     page = matching(df, from_date, to_date, asset_class, desk, book_id, status)
     if cursor is not None:
         page = page.filter(_after(cursor))
-    page = page.orderBy(*TRADE_KEY).limit(_page_size(limit))
+    page = page.orderBy(*TRADE_KEY).limit(_checked(limit, PAGE_MAX))
     return page.select(*fields) if fields else page.select(*TRADE_ROW, "event_type")
 
 
@@ -68,7 +74,7 @@ def search_connection(df: DataFrame, from_date, to_date, asset_class=None, desk=
 
     Reads one row more than the page, at most 1001 in all.
     """
-    size = _page_size(limit)
+    size = _checked(limit, PAGE_MAX)
     fields = list(fields or [*TRADE_ROW, "event_type"])
     page = matching(df, from_date, to_date, asset_class, desk, book_id, status)
     if cursor is not None:
@@ -92,46 +98,30 @@ def search_connection(df: DataFrame, from_date, to_date, asset_class=None, desk=
     )
 
 
-def _seek(df: DataFrame, key: str, skip: int, direct: int) -> tuple[str, int]:
-    """A key prefix and how many rows at or above it are still to be skipped (few).
-
-    Walks down the key one character at a time; each step counts the rows per next
-    character, so the driver sees one short histogram per step, never rows.
-    """
-    prefix = ""
-    while skip > direct:
-        nxt = F.substring(F.col(key), len(prefix) + 1, 1)
-        counts = (df.filter(F.col(key).startswith(prefix)).groupBy(nxt.alias("c")).count()
-                  .orderBy("c").collect())
-        for row in counts:
-            if skip < row["count"]:
-                break
-            skip -= row["count"]
-        else:
-            return prefix + "\U0010ffff", 0
-        if row["c"] == "":
-            return prefix, skip
-        prefix += row["c"]
-    return prefix, skip
-
-
 def search_trades_page(df: DataFrame, from_date, to_date, asset_class=None, desk=None,
                        book_id=None, status=None, page: int = 0, size: int = 100,
-                       fields=None, direct: int = DIRECT_SKIP) -> DataFrame:
-    """Page number ``page`` of ``size`` rows in (trade_id, event_type) order.
+                       fields=None) -> DataFrame:
+    """Page number ``page`` of ``size`` rows in (trade_id, event_type) order, NULLs first.
 
-    A deep page first finds where it starts, so no task sorts all skipped rows.
+    The hits are sorted in ranges and written once to the shared folder with their place in
+    their range; a row's place in all is that plus the sizes of the ranges before, one row
+    each.  So every page takes the same way and no task holds the rows that are skipped.
     """
     if page < 0:
         raise ValueError("page must not be negative")
-    size = _page_size(size)
+    first = page * _checked(size, PAGE_MAX)
+    columns = list(fields or [*TRADE_ROW, "event_type"])
     hits = matching(df, from_date, to_date, asset_class, desk, book_id, status)
-    skip = page * size
-    if skip > direct:
-        prefix, skip = _seek(hits, "trade_id", skip, direct)
-        hits = hits.filter(F.col("trade_id") >= prefix)
-    hits = hits.orderBy(*TRADE_KEY).offset(skip).limit(size)
-    return hits.select(*fields) if fields else hits.select(*TRADE_ROW, "event_type")
+    place = F.monotonically_increasing_id()  # the range in the upper bits, then the row in it
+    hits = stage(hits.orderBy(*TRADE_KEY).select(
+        *columns, F.shiftright(place, 33).alias("_range"),
+        place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")), "page")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = hits.groupBy("_range").count().select(
+        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    at = F.col("_before") + F.col("_at")
+    return (hits.join(F.broadcast(ranges), "_range").filter((at >= first) & (at < first + size))
+            .orderBy(at).select(*columns))
 
 
 def find_trade(df: DataFrame, trade_id: str, fields=None) -> DataFrame:
@@ -146,17 +136,23 @@ def latest_state(df: DataFrame) -> DataFrame:
     return dedup.latest(df, "trade_id", ["updated_at", "event_type"])
 
 
+def lifecycle_steps(df: DataFrame, ids=None) -> DataFrame:
+    """Every step of some trades or of all, one row each, by trade and time.
+
+    The sort splits a trade of any length over tasks.
+    """
+    rows = df.filter("trade_id IS NOT NULL") if ids is None else df.filter(F.col("trade_id").isin(list(ids)))
+    return rows.select("trade_id", *STEP).orderBy("trade_id", *STEP)
+
+
 def trade_lifecycle(df: DataFrame, ids=None) -> DataFrame:
-    """(trade_id, events): each trade's steps in time order, for some ids or for all.
+    """(trade_id, events): each trade's full history in time order, for some ids or for all.
 
-    Only the newest row per step is gathered, so a trade's list is as short as its
-    set of event types however often a step was delivered.
+    A list is one cell and has to fit in a task; where a trade may have millions of steps, take
+    ``lifecycle_steps``.
     """
-    rows = df if ids is None else df.filter(F.col("trade_id").isin(list(ids)))
-    step = F.struct("updated_at", "event_type", "status", "notional")
-    steps = (rows.filter(F.col("trade_id").isNotNull())
-             .groupBy("trade_id", "event_type").agg(F.max(step).alias("step")))
-    return steps.groupBy("trade_id").agg(F.array_sort(F.collect_list("step")).alias("events"))
+    rows = df.filter("trade_id IS NOT NULL") if ids is None else df.filter(F.col("trade_id").isin(list(ids)))
+    return rows.groupBy("trade_id").agg(F.array_sort(F.collect_list(F.struct(*STEP))).alias("events"))
 
 
 def recent_trades(df: DataFrame, as_of, days: int = 7, limit: int = 100) -> DataFrame:
@@ -166,9 +162,7 @@ def recent_trades(df: DataFrame, as_of, days: int = 7, limit: int = 100) -> Data
     busy instrument sends at most ``limit`` rows per map task.
     """
     day = F.lit(str(as_of)).cast("date")
-    k = min(limit, NESTED_CAP)
-    if k < 1:
-        raise ValueError("limit must be at least 1")
+    k = _checked(limit, NESTED_MAX)
     window = Window.partitionBy("instrument_id").orderBy(
         F.col("trade_date").desc(), "trade_id", "event_type")
     recent = df.filter((F.col("trade_date") > F.date_sub(day, days)) & (F.col("trade_date") <= day)

@@ -30,7 +30,8 @@ def incremental_slice(source: DataFrame, target: DataFrame | None, col: str = "u
 
     The mark is read first and enters the plan as a literal, so the source scan is
     pruned by it.  ``lookback`` (such as "2 days") moves the mark back to catch rows
-    that arrived late.
+    that arrived late or share the mark's time.  Rows without a time are in every slice,
+    since nothing tells whether they were loaded; the upsert that follows takes them once.
     """
     mark = None if target is None else high_water_mark(target, col)
     if mark is None:
@@ -38,7 +39,7 @@ def incremental_slice(source: DataFrame, target: DataFrame | None, col: str = "u
     since = F.lit(mark)
     if lookback:
         since = since - F.expr(f"INTERVAL {lookback}")
-    return source.filter(F.col(col) > since)
+    return source.filter((F.col(col) > since) | F.col(col).isNull())
 
 
 def with_audit(df: DataFrame, run_id: str) -> DataFrame:

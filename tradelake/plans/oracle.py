@@ -509,6 +509,13 @@ _add("trade_lifecycle", """
     SELECT trade_id, string_agg(strftime(updated_at, '%Y-%m-%d') || ':' || event_type, ','
                                 ORDER BY updated_at, event_type) AS steps
     FROM newest GROUP BY trade_id""", "newest")
+_add("trade_lifecycle_raw", """
+    SELECT trade_id, string_agg(strftime(updated_at, '%Y-%m-%d') || ':' || event_type, ','
+                                ORDER BY updated_at, event_type) AS steps
+    FROM trades WHERE trade_id IS NOT NULL GROUP BY trade_id""", "trades")
+_add("lifecycle_steps", """
+    SELECT trade_id, updated_at, event_type, status, notional FROM trades
+    WHERE trade_id IS NOT NULL""", "trades")
 _add("latest_trade_state", """
     SELECT trade_id, event_type, updated_at FROM (
         SELECT *, row_number() OVER (PARTITION BY trade_id

@@ -80,7 +80,7 @@ def validate_invalid(spark, sf):
 
 @query
 def run_metrics(spark, sf):
-    return quality.run_metrics(*quality.validate(_newest(spark, sf)))
+    return quality.run_metrics(_newest(spark, sf))
 
 
 @query
@@ -454,7 +454,7 @@ def search_trades(spark, sf):
 @query
 def search_trades_after_cursor(spark, sf):
     return search.search_trades(_searchable(spark, sf), "1995-01-01", "2001-12-31",
-                                status="NEW", limit=1500, cursor=("2", "NEW"),
+                                status="NEW", limit=1000, cursor=("2", "NEW"),
                                 fields=["trade_id", "event_type", "notional_usd"])
 
 
@@ -478,9 +478,8 @@ def search_trades_page(spark, sf):
 
 @query
 def search_trades_deep_page(spark, sf):
-    fact = stage(_searchable(spark, sf), "deep-page")
-    return search.search_trades_page(fact, "1995-01-01", "2001-12-31", page=40, size=1000,
-                                     fields=["trade_id", "event_type"], direct=500)
+    return search.search_trades_page(_searchable(spark, sf), "1995-01-01", "2001-12-31",
+                                     page=40, size=1000, fields=["trade_id", "event_type"])
 
 
 @query
@@ -513,6 +512,20 @@ def trade_lifecycle(spark, sf):
                                      e["event_type"])), ",").alias("steps"))
 
 
+@query
+def trade_lifecycle_raw(spark, sf):
+    """The history with every delivery of every step."""
+    life = search.trade_lifecycle(fixtures.trades_raw(spark, sf))
+    return life.select("trade_id", F.array_join(F.transform(
+        "events", lambda e: F.concat(F.date_format(e["updated_at"], "yyyy-MM-dd"), F.lit(":"),
+                                     e["event_type"])), ",").alias("steps"))
+
+
+@query
+def lifecycle_steps(spark, sf):
+    return search.lifecycle_steps(fixtures.trades_raw(spark, sf))
+
+
 @query
 def latest_trade_state(spark, sf):
     return search.latest_state(_newest(spark, sf)).select("trade_id", "event_type", "updated_at")

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradelake.functions.parse import parse_events, split_valid
 from tradelake.operators import dedup, enrich, merge, windows
 from tradelake.schemas import CURATED_PARTITIONS, TRADE_KEY
+from tradelake.session import stage
 
 WATERMARK = "10 seconds"
 TRIGGER = {"processingTime": "60 seconds"}
@@ -76,10 +77,21 @@ def write_metrics(df: DataFrame, path: str, checkpoint: str, trigger=None) -> St
 
 def upsert_to_table(df: DataFrame, path: str, checkpoint: str, trigger=None,
                     keys=tuple(TRADE_KEY), partitions=tuple(CURATED_PARTITIONS),
-                    guard: str | None = "updated_at") -> StreamingQuery:
-    """Merge each micro-batch into the table; the guard makes a repeated batch harmless."""
+                    guard: str | None = "updated_at", keyless: str | None = None) -> StreamingQuery:
+    """Merge each micro-batch into the table; the guard makes a repeated batch harmless.
+
+    Rows that lack a part of their key cannot be merged.  They go as they are to the folder
+    ``keyless`` (default: the table's path and "-keyless"), below one folder per batch, which a
+    repeated batch writes again.
+    """
+    aside = keyless or f"{path.rstrip('/')}-keyless"
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        newest = dedup.latest(batch, list(keys), guard, null_keys="drop")
+        batch = stage(batch, "batch")
+        keyed, loose = merge.split_keyed(batch, keys)
+        if not loose.isEmpty():
+            loose.write.mode("overwrite").parquet(f"{aside}/batch={batch_id}")
+        newest = dedup.latest(keyed, list(keys), guard, null_keys="drop")
         merge.upsert_table(batch.sparkSession, path, newest, keys, partitions, guard)
 
     return (df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
