@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tradelake.session import scratch_path
 
 BLOCKS = 16384
+BROADCAST_FILES = 20_000  # a name takes some hundred bytes
 
 
 def min_cost_flow(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
@@ -173,4 +174,6 @@ def file_shards(docs: DataFrame) -> DataFrame:
     if not names:
         return docs.withColumn("old_shard", F.lit(0))
     number = docs.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "path string, old_shard int")
+    if len(names) <= BROADCAST_FILES:  # Spark cannot know the size; without this it moves the texts to meet the names
+        number = F.broadcast(number)
     return docs.select("*", path.alias("path")).join(number, "path").drop("path")
