@@ -9,7 +9,7 @@ once per chunk, not once per document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,13 @@ def chunk_of(doc_id: Column, text: Column) -> Column:
         F.floor(doc_id / F.lit(CHUNK_DOCS)).cast("long"))
 
 
-def chunked(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def chunked(docs: DataFrame, carry: Mapping[str, str] | None = None) -> DataFrame:
     """(chunk, doc_id, text) of all rows, whatever else the table holds; ``carry`` names columns to bring
-    along, as carry_0, carry_1 and so on."""
+    along, by the name they get here."""
     ship(docs.sparkSession)
     ids, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     return docs.select(chunk_of(ids, text).alias("chunk"), ids.alias("doc_id"), text.alias("text"),
-                       *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
+                       *(F.col(c).alias(k) for k, c in (carry or {}).items()))
 
 
 def bucket_count(spark: SparkSession) -> int:

@@ -37,9 +37,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, carry: Sequence[str]
     """
     spark = docs.sparkSession
     n = ex.bucket_count(spark)
-    full = ex.chunked(docs, carry)
+    shipped = {f"carry_{i}": c for i, c in enumerate(carry)}
+    source = {k: "text" if c == "text" and docs.schema[c].dataType.simpleString() == "string" else k for k, c in shipped.items()}
+    full = ex.chunked(docs, {k: c for k, c in shipped.items() if source[k] == k})  # the text is on its way already
     rows = full.select("chunk", "doc_id", "text")
-    out_schema = ", ".join([OUT_SCHEMA, *(f"carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))])
+    out_schema = ", ".join([OUT_SCHEMA, *(f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in shipped.items())])
 
     def report(table: pa.Table) -> pa.Table:
         """One block per bucket: the chunk's distinct windows, each with its first document."""
@@ -81,9 +83,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, carry: Sequence[str]
             "n_removed": pa.array(np.diff(counts), pa.int64()),
             "kept": bt.string_array(text, offsets),
             "spans": bt.span_lists(starts, ends, first, words.first),
-            **{f"carry_{i}": table.column(f"carry_{i}") for i in range(len(carry))}})
+            **{k: table.column(c) for k, c in source.items()}})
 
     blocks = rows.groupBy("chunk").applyInArrow(report, BLOCK_SCHEMA)
     marks = blocks.groupBy("bucket").applyInArrow(compare, ex.BITS_SCHEMA)
     out = full.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(remove, out_schema)
-    return out.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
+    return out.withColumnsRenamed(shipped)
