@@ -51,6 +51,18 @@ def test_shards_that_do_not_change_are_not_written(spark, odd_docs, new_path):
     assert spark.read.parquet(path).select("shard").distinct().count() < 4 and len(moved) == len(got)
 
 
+@pytest.mark.parametrize("old", [9, 10, 12])
+def test_more_old_shards_than_new_with_one_untouched(spark, old, new_path):
+    docs = spark.range(old * 40).select(F.col("id").alias("doc_id"), F.lpad(F.col("id").cast("string"), 9, "x").alias("text"),
+                                        (F.col("id") % old).alias("old_shard"))
+    share, more = divmod((old - 1) * 400, 7)  # 40 rows of 10 bytes a shard; the first one is at its capacity
+    path = new_path()
+    got = dealt(resharding.reshard(docs, 8, [400, *(share + (j < more) for j in range(7))], path=path))
+    assert sorted(r.doc_id for r in got) == list(range(old * 40))
+    assert {r.doc_id for r in got if r.shard == 0} == set(range(0, old * 40, old))
+    assert {r.shard for r in spark.read.parquet(path).select("shard").distinct().collect()} == set(range(1, 8))
+
+
 def test_empty_table(no_docs):
     assert resharding.slots(resharding.reshard(no_docs.withColumn("old_shard", F.lit(0)), 8), "doc_id").collect() == []
 

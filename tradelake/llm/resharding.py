@@ -155,7 +155,8 @@ def reshard(docs: DataFrame, shards: int, capacities: list[int] | None = None, b
     columns = ["doc_id", "text", "old_shard", "block", "base", "shard"]
     dealt.filter("changed").select(*columns).write.partitionBy("shard").parquet(path)
     written = spark.read.schema("doc_id long, text string, old_shard int, block long, base long, shard int").parquet(path)
-    return written if len(changed) >= shards else written.unionAll(dealt.filter("not changed").select(*columns))
+    # old shards beyond the new ones count as changed too: what matters is whether a new shard with rows is left as it was
+    return written if changed.issuperset(at.values()) else written.unionAll(dealt.filter("not changed").select(*columns))
 
 
 def slots(dealt: DataFrame, *order: str) -> DataFrame:
