@@ -26,6 +26,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 SALTS = 3
+PAYS = 8  # rounds of pairs go on while more than one pair in so many is a link
+FEW = 16  # a bucket of so many texts is settled by its pairs
+PART, PART_BYTES = 2048, 8 << 20  # texts, and their bytes, of one part of a larger bucket
+COLUMNS = 4096
 U64 = np.uint64
 
 
@@ -205,6 +209,125 @@ def _mixed(values: DataFrame, groups: DataFrame) -> DataFrame:
     return label.join(mixed.select("band", "value"), ["band", "value"], "left_semi")
 
 
+def bounds(a: Shingles, b: Shingles) -> np.ndarray:
+    """For each row of a and each of b a similarity that theirs does not exceed.
+
+    With p and q the weight of the common shingles in either text, weights adding up to 1, it is
+    1 / (1 / p + 1 / q - 1): each common shingle d adds to the similarity at most
+    1 / (1 / p_d + (1 - q) / q_d), which is concave in (p_d, q_d).  It is the similarity itself if no
+    shingle occurs twice in its text.
+    """
+    p, q = (np.zeros((a.rows, b.rows), np.float32) for _ in "pq")
+    common = np.intersect1d(a.hash, b.hash)
+    for at in range(0, len(common), COLUMNS):
+        some = common[at:at + COLUMNS]
+        (has_a, in_a), (has_b, in_b) = (_dense(s, some) for s in (a, b))
+        p += in_a @ has_b.T
+        q += has_a @ in_b.T
+    with np.errstate(divide="ignore"):
+        return 1 / (1 / p + 1 / q - 1)
+
+
+def _dense(s: Shingles, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by the ascending hashes ``some``: 1 for a shingle that the row has, and its share of the row's weight."""
+    at = np.minimum(np.searchsorted(some, s.hash), len(some) - 1)
+    here = some[at] == s.hash
+    total = np.bincount(s.doc, weights=s.count, minlength=s.rows)
+    has, share = (np.zeros((s.rows, len(some)), np.float32) for _ in "hs")
+    has[s.doc[here], at[here]] = 1
+    share[s.doc[here], at[here]] = s.count[here] / total[s.doc[here]]
+    return has, share
+
+
+def _taken(s: Shingles, rows: np.ndarray) -> Shingles:
+    """Some rows of s, in the order given."""
+    out = object.__new__(Shingles)
+    n = np.diff(s.first)[rows]
+    out.rows, out.first = len(rows), np.concatenate(([0], np.cumsum(n)))
+    at = np.repeat(s.first[rows] - out.first[:-1], n) + np.arange(out.first[-1])
+    out.doc, out.hash, out.count = np.repeat(np.arange(len(rows)), n), s.hash[at], s.count[at]
+    return out
+
+
+def _links(table: pa.Table, threshold: float) -> pa.Table:
+    """Links (a, b) between the texts of the two sides of a pair of parts, or of one part met with itself, as
+    many as it takes to join what is similar: texts that bear one label already are not compared."""
+    _, at = np.unique(table.column("key").to_numpy(), return_index=True)
+    twice = len(at) < table.num_rows  # a part met with itself has its rows on both sides
+    side = table.column("side").to_numpy()
+    if twice:
+        table, side = table.take(pa.array(at)), None
+    key = table.column("key").to_numpy()
+    names, label = np.unique(table.column("label").to_numpy(), return_inverse=True)
+    s = Shingles(table.column("text").combine_chunks())
+    left, right = (np.arange(len(key)),) * 2 if twice else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    bound = bounds(_taken(s, left), _taken(s, right))
+    i, j = np.nonzero((bound >= threshold - 1e-4) & (label[left][:, None] != label[right][None, :]))  # bounds are 32-bit floats
+    order = np.argsort(-bound[i, j], kind="stable")
+    i, j = left[i[order]], right[j[order]]
+    if twice:
+        i, j = i[i < j], j[i < j]
+    head = np.arange(len(names))
+    found = []
+    while len(i):
+        # the most similar pairs first; then those that these have joined need no look
+        close = similarity(_taken(s, i[:256]), _taken(s, j[:256])) >= threshold - 1e-9
+        for x, y in zip(i[:256][close].tolist(), j[:256][close].tolist()):
+            x_head, y_head = head[label[x]], head[label[y]]
+            if x_head != y_head:
+                head[head == x_head] = y_head
+                found.append((min(key[x], key[y]), max(key[x], key[y])))
+        i, j = i[256:], j[256:]
+        apart = head[label[i]] != head[label[j]]
+        i, j = i[apart], j[apart]
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def open_buckets(values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All pairs (a, b) of differing labels in buckets of a few texts, and the rows of the other buckets."""
+    values = values.select("key", "band", "value", "label")
+    sizes = values.groupBy("band", "value").agg(F.count("*").alias("n"))
+    sized = values.join(sizes, ["band", "value"])
+    small = sized.filter(F.col("n") <= FEW)
+    own = small.groupBy("band", "value").agg(F.collect_list(F.struct("key", "label")).alias("own"))  # FEW at most
+    each = own.select(F.explode("own").alias("x"), "own").select("x", F.explode("own").alias("y"))
+    pairs = each.filter("x.key < y.key and x.label <> y.label").select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    return pairs, sized.filter(F.col("n") > FEW).drop("n")
+
+
+def settled(values: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between all texts of one bucket that bear differing labels, none left out.
+
+    A bucket is dealt into parts by a hash, and each two parts meet in a task of their own, so that the
+    work for a large bucket is spread.  A label with more texts than a part holds has parts to itself, which
+    need not meet each other.
+    """
+    bytes_ = texts.select("key", F.octet_length("text").cast("long").alias("bytes"))
+    sized = stage(values.join(bytes_, "key"), "open")
+    of_part = F.ceil(F.greatest(F.col("n") / PART, F.col("bytes") / PART_BYTES))
+    by_label = sized.groupBy("band", "value", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    by_label = by_label.select("*", of_part.alias("own_parts"))
+    rest = by_label.filter("own_parts = 1").groupBy("band", "value").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    dealt = by_label.drop("n", "bytes").join(rest.select("band", "value", of_part.alias("parts")), ["band", "value"], "left")
+    alone = F.col("own_parts") > 1
+    part = F.struct(F.when(alone, F.col("label")).alias("alone"),
+                    F.when(alone, F.pmod(F.xxhash64("key"), "own_parts")).otherwise(F.pmod(F.xxhash64("label"), "parts")).alias("number"))
+    placed = stage(sized.join(dealt, ["band", "value", "label"]).select("key", "label", "band", "value", part.alias("part")), "parts")
+    parts = placed.groupBy("band", "value", "part").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    x, y = (parts.select("band", "value", *(F.col(c).alias(f"{c}_{side}") for c in ("part", "least", "most"))) for side in (0, 1))
+    one_label = F.expr("least_0 = most_0 and least_1 = most_1 and least_0 = least_1")
+    meet = x.join(y, ["band", "value"]).filter(F.expr("part_0 <= part_1") & ~one_label)
+    meet = meet.select("band", "value", F.xxhash64("band", "value", "part_0", "part_1").alias("meeting"), F.posexplode(F.array("part_0", "part_1")).alias("side", "part"))
+    met = placed.withColumn("_alone", F.col("part.alone")).withColumn("_number", F.col("part.number")).drop("part").alias("p")
+    meet = meet.withColumn("_alone", F.col("part.alone")).withColumn("_number", F.col("part.number")).drop("part").alias("m")
+    same = ((F.col("p.band") == F.col("m.band")) & (F.col("p.value") == F.col("m.value"))
+            & (F.col("p._number") == F.col("m._number")) & F.col("p._alone").eqNullSafe(F.col("m._alone")))
+    rows = met.join(meet, same).select("meeting", "side", "key", "label").join(texts.select("key", "text"), "key")
+    return rows.select("meeting", "side", "key", "label", "text").groupBy("meeting").applyInArrow(
+        lambda table: _links(table, threshold), "a long, b long").distinct()
+
+
 def link_texts(rows: DataFrame, threshold: float, bands: int, slots: int) -> DataFrame:
     """(key, group) of the texts (key, text) that have a similar one."""
     values = stage(sketch(rows, bands, slots), "bands")
@@ -223,14 +346,18 @@ def link_texts(rows: DataFrame, threshold: float, bands: int, slots: int) -> Dat
     while True:
         pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stage(verify(pairs, texts, threshold), "verified")
-        if groups is not None and links.isEmpty():
-            return groups
         tested = pairs if tested is None else tested.unionAll(pairs)
         groups = joined_groups(groups, links)
         values = stage(_mixed(values, groups), "buckets")
         rows.sparkSession._jvm.System.gc()  # Spark drops shuffle files of past rounds when the driver collects garbage
+        if salt and links.count() * PAYS <= pairs.count():
+            break
         pairs = reduce(DataFrame.unionAll, [candidates(values, s) for s in range(salt, salt + SALTS)]).distinct()
         salt += SALTS
+    # rounds only save work: what they left open is settled here, pair by pair
+    few, many = open_buckets(values)
+    links = verify(few.join(tested, ["a", "b"], "left_anti"), texts, threshold)
+    return joined_groups(groups, stage(links.unionAll(settled(many, texts, threshold)), "verified"))
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
@@ -262,7 +389,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     columns are not looked at.
 
     Texts are known by a 64-bit hash.  With 32 bands of 4 slots a pair at similarity 0.8 meets in no
-    band once in 20 million; rounds of pairs go on until one finds no new link.
+    band once in 20 million; all pairs that meet in one are looked at, unless links join them already.
     """
     ship(docs.sparkSession)
     own, _ = _keyed(docs)
