@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import bpe, minhash, quality, resharding, rollups, rules, substrings, suffixes, toxicity, winnowing
+from tradelake.llm import (
+    bpe,
+    infill,
+    minhash,
+    quality,
+    resharding,
+    rollups,
+    rules,
+    secrets_scan,
+    spelling,
+    substrings,
+    suffixes,
+    toxicity,
+    winnowing,
+)
 from tradelake.session import stage
 
 
@@ -96,6 +110,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.infilled(table(spark, sf_dir, "documents"))
+    whole = infill.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(whole.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    out = secrets_scan.secrets(table(spark, sf_dir, "documents"), ranks_path())
+    return out.select("doc_id", *(secrets_scan.number_of(spans, k).alias(f"n_{k}") for k in secrets_scan.KINDS[:3]),
+                      F.sha2(secrets_scan.written(secrets_scan.base_of(spans)), 256).alias("base_sha256"),
+                      secrets_scan.written(spans).alias("spans"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -107,6 +140,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_infill": op11_infill,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -161,7 +197,50 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM d LEFT JOIN k USING (row)
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+r AS (SELECT doc_id, text, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN text = '' OR regexp_matches(text, '<P>|<S>|<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM r),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE t AS (SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_concat([i::BIGINT], range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))),
+r AS (SELECT doc_id, run, count(*) AS n FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    GROUP BY ALL),
+b AS (SELECT run, n, list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x:
+        CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [(192 + (unicode(x) >> 6))::BIGINT, (128 + (unicode(x) & 63))::BIGINT] END))) AS bytes FROM r),
+h AS (SELECT run, n, xor(4294967295, list_reduce(bytes, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) AS h FROM b, t),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n
+      FROM h GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+g AS (SELECT word, n, word[1:i - 1] AS head, word[i + 1:] AS tail FROM w, unnest(generate_series(1, length(word))) AS u(i)),
+e AS (SELECT x.word, y.word AS other FROM g AS x JOIN g AS y ON x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+      UNION SELECT g.word, w.word FROM g JOIN w ON w.word = g.head || g.tail
+      UNION SELECT w.word, g.word FROM g JOIN w ON w.word = g.head || g.tail),
+k AS (SELECT e.word, count(*) AS n_near, arg_min(e.other, struct_pack(a := -w.n, b := e.other)) AS best, max(w.n) AS best_n
+      FROM e JOIN w ON w.word = e.other GROUP BY e.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+             CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM w LEFT JOIN k USING (word)),
+s AS (SELECT word, word AS root FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+FROM f JOIN s USING (word) JOIN f AS last ON last.word = s.root WHERE last.form IS NULL
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_infill": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
     "op3_decontamination": OP3_SQL,
     "op6_substring_dedup": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
