@@ -27,6 +27,22 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 FACT_DATE_FLOOR = "2020-01-01"
 FILE_FORMATS = ["FPML", "MT518", "CSV"]
 FPML_LEI_SCHEME = "http://www.gleif.org/data/schema/leiData"
+FPML_TRADE = "trade"
+# Where each field lies in a trade element, prefixes taken off; the one that is an attribute; values of absent fields
+FPML_PATHS = {
+    "trade_id": "tradeHeader/partyTradeIdentifier/tradeId",
+    "our_ref": "tradeHeader/partyTradeIdentifier/tradeId[@partyReference='party1']",
+    "instrument_isin": ".//instrumentId",
+    "notional": ".//notionalAmount/amount",
+    "currency": ".//notionalAmount/currency",
+    "trade_date": "tradeHeader/tradeDate",
+    "settlement_date": ".//settlementDate",
+    "counterparty_lei": f".//partyId[@partyIdScheme='{FPML_LEI_SCHEME}']",
+    "price": ".//initialPrice/cleanPrice",
+    "direction": ".//buyerPartyReference",
+}
+FPML_HREF = "direction"
+FPML_DEFAULTS = {"notional": "0", "price": "0", "direction": "BUY"}
 
 TRADE_KEY = ["trade_id", "event_type"]
 CURATED_PARTITIONS = ["trade_date", "asset_class"]

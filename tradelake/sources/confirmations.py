@@ -16,22 +16,14 @@ from tradelake.functions.arrays import non_null
 from tradelake.functions.envelope import to_keyed
 from tradelake.operators.dedup import latest
 from tradelake.operators.lookup import lookup
-from tradelake.schemas import CONFIRMATION, CONFIRMATION_CSV, FPML_LEI_SCHEME, MONEY
-from tradelake.session import stage
+from tradelake.schemas import CONFIRMATION, CONFIRMATION_CSV, MONEY
+from tradelake.sources.chunks import plain_path
+from tradelake.sources.csv_files import read_csv
+from tradelake.sources.fpml import read_fpml
 
 NUMBERS = ("notional", "price")
 
 
-def _plain(path: Column) -> Column:
-    """A file path without ``file:`` scheme, to compare paths of different origin."""
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
-def _file_path() -> Column:
-    """The path of the scanned file; the scan reports it percent-encoded."""
-    return _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
-
-
 def _rejected(df: DataFrame, reason) -> DataFrame:
     reason = reason if isinstance(reason, Column) else F.lit(reason)
     return df.select("file_id", reason.alias("reason"))
@@ -93,8 +85,8 @@ def read_files(spark: SparkSession, envelopes: DataFrame) -> DataFrame:
 
 def verify_checksums(files: DataFrame, envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sound envelopes, rejected files): the content hash must equal the envelope's."""
-    found = files.select(_plain(F.col("path")).alias("_path"), F.col("sha256"))
-    both = envelopes.join(found, _plain(F.col("path")) == F.col("_path"), "left")
+    found = files.select(plain_path(F.col("path")).alias("_path"), F.col("sha256"))
+    both = envelopes.join(found, plain_path(F.col("path")) == F.col("_path"), "left")
     same = F.coalesce(F.col("sha256") == F.lower("file_checksum"), F.lit(False))
     reason = F.when(F.col("sha256").isNull(), "FILE_NOT_FOUND").otherwise("CHECKSUM_MISMATCH")
     return both.filter(same).select(*envelopes.columns), _rejected(both.filter(~same), reason)
@@ -102,40 +94,6 @@ def verify_checksums(files: DataFrame, envelopes: DataFrame) -> tuple[DataFrame,
 
 # --- CSV --------------------------------------------------------------------------
 
-def read_csv(spark: SparkSession, paths) -> DataFrame:
-    """(path, names, values): every data row of files whose headers may differ.
-
-    A first pass over the lines learns the widest row and whether any quoted field
-    spans lines.  Unless one does, large files are read in splits.
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    line = F.col("value")
-
-    def occurrences(char):
-        return F.length(line) - F.length(F.replace(line, F.lit(char), F.lit("")))
-
-    shape = spark.read.text(paths).agg(
-        F.max(occurrences(",")).alias("commas"),
-        F.coalesce(F.bool_or(occurrences('"') % 2 == 1), F.lit(False)).alias("spans")).first()
-    width = (shape["commas"] or 0) + 1
-    names = [f"c{i}" for i in range(width)]
-    reader = (spark.read.schema(", ".join(f"{n} string" for n in names))
-              .option("multiLine", shape["spans"]).option("escape", '"')
-              .option("encoding", "UTF-8"))
-    cells = F.array(*names)
-    head = (
-        reader.option("header", "false").csv(paths)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(_file_path().alias("path"), cells.alias("names"),
-                F.monotonically_increasing_id().alias("at"))
-        .groupBy("path").agg(F.min_by("names", "at").alias("names"))
-        .withColumn("names", F.transform("names", lambda n: F.ltrim(n, F.lit("﻿"))))
-    )
-    body = (reader.option("header", "true").csv(paths)
-            .select(_file_path().alias("path"), cells.alias("values")))
-    return lookup(body, stage(head, "headers"), "path")
-
-
 def _cell(source_name: Column) -> tuple[Column, Column]:
     """(present?, text) of a named cell."""
     at = F.array_position("names", source_name)
@@ -174,113 +132,6 @@ def apply_mapping(rows: DataFrame, mapping: DataFrame | None = None) -> DataFram
     )
 
 
-# --- FpML -------------------------------------------------------------------------
-
-_SEPARATOR = "\u001f"  # cannot occur in XML text
-_NAME = r"[A-Za-z_][-.\w]*"
-_OPEN_TAG = rf"(?s)^.*<(?:{_NAME}:)?trade\s[^>]*>"
-_ROOT = rf"(?s)^\ufeff?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<((?:{_NAME}:)?{_NAME})"
-_CLOSE_START = rf"</(?:{_NAME}:)?$"
-_PREFIX = rf"(</?){_NAME}:"
-_OTHER_TAG = rf"</?(?:{_NAME}:)?[-.\w]+$"
-
-
-def malformed_xml(spark: SparkSession, paths) -> DataFrame:
-    """(path) of files that are not well-formed XML, read as a stream per file."""
-    # the scan must use a second column: Spark refuses to read the corrupt one alone
-    bad = F.col("_corrupt_record").isNotNull() | (F.length("tradeHeader") < 0)
-    return (
-        spark.read.format("xml").option("rowTag", "trade").option("ignoreNamespace", "true")
-        .schema("tradeHeader string, _corrupt_record string").load(paths)
-        .filter(bad).select(_file_path().alias("path")).distinct()
-    )
-
-
-def unclosed_xml(spark: SparkSession, pieces: DataFrame, paths) -> DataFrame:
-    """(path) of files without a root element or without its closing tag at the end.
-
-    The XML scan above looks for ``trade`` elements and does not mind a cut-off end.
-    ``pieces`` has path, value and place, the order of the pieces of a file.
-    """
-    ends = pieces.groupBy("path").agg(F.min_by("value", "place").alias("first"),
-                                      F.max_by("value", "place").alias("last"))
-    root = F.regexp_extract("first", _ROOT, 1)
-    closing = F.concat(F.lit("(?s)</"), root, F.lit(r"\s*>\s*(?:<!--.*?-->\s*)*$"))
-    closed = (root != "") & (root.endswith("trade") | F.regexp_like(F.col("last"), closing))
-    named = spark.createDataFrame([(p,) for p in paths], "path string").select(
-        _plain(F.col("path")).alias("path"))
-    return (named.join(ends.select("path", closed.alias("closed")), "path", "left")
-            .filter(~F.coalesce("closed", F.lit(False))).select("path"))
-
-
-# Where each field lies in a trade element, element prefixes taken off
-_IDENT = "/trade/tradeHeader/partyTradeIdentifier/tradeId"
-FPML_PATHS = {
-    "trade_id": _IDENT,
-    "our_ref": f"{_IDENT}[@partyReference='party1']",
-    "instrument_isin": "//instrumentId",
-    "notional": "//notionalAmount/amount",
-    "currency": "//notionalAmount/currency",
-    "trade_date": "/trade/tradeHeader/tradeDate",
-    "settlement_date": "//settlementDate",
-    "counterparty_lei": f"//partyId[@partyIdScheme='{FPML_LEI_SCHEME}']",
-    "price": "//initialPrice/cleanPrice",
-    "direction": "//buyerPartyReference/@href",
-}
-# Value of an absent field, and how its element begins; one that is there but empty
-# keeps its empty text
-FPML_DEFAULTS = {
-    "notional": ("0", r"(?s)<notionalAmount[\s>](?:(?!</notionalAmount>).)*<amount[\s/>]"),
-    "price": ("0", r"(?s)<initialPrice[\s>](?:(?!</initialPrice>).)*<cleanPrice[\s/>]"),
-    "direction": ("BUY", r"<buyerPartyReference\s[^>]*\bhref="),
-}
-
-
-def _xpath_all(xml: str, expressions: list[str]) -> Column:
-    """Texts of several XPath expressions from a single parse, as an array."""
-    joined = f", '{_SEPARATOR}', ".join(expressions)
-    return F.split(F.xpath_string(xml, F.lit(f"concat({joined})")), _SEPARATOR)
-
-
-def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
-    """(rows, malformed files): one row per ``trade`` element, prefixed or not.
-
-    The text is cut at the end of ``trade`` tags, so one large file is read in splits
-    and no task holds a whole file.  Files that are not well-formed, or that have some
-    other element whose name ends in "trade", are returned as malformed.
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    pieces = (spark.read.option("lineSep", "trade>").text(paths)
-              .select(_file_path().alias("path"), "value", F.struct(
-                  F.col("_metadata.file_block_start").alias("block"),
-                  F.monotonically_increasing_id().alias("n")).alias("place")))
-    unclear = pieces.filter(F.col("value").rlike(_OTHER_TAG)).select("path").distinct()
-    malformed = stage(malformed_xml(spark, paths).union(unclear)
-                      .union(unclosed_xml(spark, pieces, paths)).distinct(), "malformed")
-
-    inner = F.regexp_replace(F.regexp_replace("value", _OPEN_TAG, ""), _CLOSE_START, "")
-    inner = F.regexp_replace(inner, _PREFIX, "$1")
-    ends = pieces.filter(F.col("value").rlike(_CLOSE_START))
-    fragments = (
-        lookup(ends, malformed, "path", how="left_anti")
-        .select("path", F.concat(F.lit("<trade>"), inner, F.lit("</trade>")).alias("xml"))
-    )
-
-    found = fragments.select(
-        "path", "xml", _xpath_all("xml", [f"string({p})" for p in FPML_PATHS.values()]).alias("v"))
-    texts = {name: F.get("v", F.lit(i)) for i, name in enumerate(FPML_PATHS)}
-    for name, (default, begins) in FPML_DEFAULTS.items():
-        absent = (texts[name] == "") & ~F.col("xml").rlike(begins)
-        texts[name] = F.when(absent, default).otherwise(texts[name])
-    rows = found.select("path", *[
-        (text.try_cast(MONEY) if name in NUMBERS else text).alias(name)
-        for name, text in texts.items()])
-    broken = non_null([F.when(F.col(c).isNull(), F.lit(c)) for c in NUMBERS])
-    return rows.withColumn("error", F.when(
-        F.size(broken) > 0,
-        F.concat(F.lit("Bad number: "), F.array_join(broken, ", ")))), malformed
-
-
 # --- Dispatch -----------------------------------------------------------------------
 
 def read_all(spark: SparkSession, envelopes: DataFrame,
@@ -290,7 +141,7 @@ def read_all(spark: SparkSession, envelopes: DataFrame,
     Rows carry ``error`` where a number is unreadable.  Rejects are whole files: an
     unknown or unimplemented format, or broken markup.
     """
-    ids = envelopes.select(_plain(F.col("path")).alias("path"),
+    ids = envelopes.select(plain_path(F.col("path")).alias("path"),
                            F.col("file_id").alias("source_file_id"), "sender_duns")
     columns = [*CONFIRMATION.fieldNames(), "error"]
     parts, rejects = [], []
