@@ -539,6 +539,17 @@ _add("instruments_nested", f"""
 
 _add("confirmations_csv", "SELECT * FROM confirms", "confirms")
 _add("confirmations_fpml", "SELECT * FROM confirms", "confirms")
+_add("confirmations_fpml_odd", """
+    SELECT *, NULL::VARCHAR AS reason FROM confirms
+    UNION ALL BY NAME
+    SELECT '' AS trade_id, '' AS our_ref, '' AS instrument_isin, 0::DECIMAL(20,4) AS notional, '' AS currency, '' AS trade_date,
+           '' AS settlement_date, '' AS counterparty_lei, 0::DECIMAL(20,4) AS price, 'BUY' AS direction, source_file_id
+    FROM (SELECT DISTINCT source_file_id, trade_date[1:4] FROM confirms)
+    UNION ALL BY NAME
+    SELECT DISTINCT source_file_id, 'MALFORMED_XML' AS reason FROM confirms""", "confirms")
+_add("confirmations_csv_multiline", """
+    SELECT * REPLACE (CASE WHEN trade_date LIKE '%3' THEN direction || ',' || chr(10) || '"side"' || chr(10)
+                           ELSE direction END AS direction) FROM confirms""", "confirms")
 _add("confirmations_mapped_csv", """
     SELECT trade_id, our_ref, notional, currency, CAST(0 AS DECIMAL(20,4)) AS price,
            '' AS direction, error FROM confirms""", "confirms")

@@ -595,8 +595,12 @@ def confirmations_mapped_csv(spark, sf):
                        "error")
 
 
-def _fpml_folder(spark, sf) -> str:
-    """One document per sender and year; some senders use a namespace prefix."""
+def _fpml_folder(spark, sf, odd: bool = False) -> str:
+    """One document per sender and year; some senders use a namespace prefix.
+
+    ``odd`` adds what looks like tags of a trade and is none, an empty trade per document, and
+    a document per sender that is not well-formed.
+    """
     rows = fixtures.confirmation_rows(spark, sf).withColumn("year", F.substring("TRADE_DATE", 1, 4))
     prefixed = F.substring("sender", -1, 1).isin("1", "3", "5", "7", "9")
     p = F.when(prefixed, "f:").otherwise("")
@@ -605,8 +609,10 @@ def _fpml_folder(spark, sf) -> str:
         return F.concat(F.lit("<"), p, F.lit(name + attrs + ">"), content,
                         F.lit("</"), p, F.lit(name + ">"))
 
+    looks = tag("subtrade", F.concat(F.lit("<![CDATA[</trade>]]><!-- </"), p, F.lit("trade> <trade> -->")), " note='a>b'")
+    extra = F.when(F.col("TRADE_DATE").endswith("3"), looks).otherwise("") if odd else F.lit("")
     trade = tag("trade", F.concat(
-        tag("tradeHeader", F.concat(
+        extra, tag("tradeHeader", F.concat(
             tag("partyTradeIdentifier", F.concat(
                 tag("tradeId", F.col("TRADE_ID")),
                 tag("tradeId", F.col("OUR_REF"), ' partyReference="party1"'))),
@@ -624,9 +630,14 @@ def _fpml_folder(spark, sf) -> str:
     xmlns = F.when(prefixed, "xmlns:f=").otherwise("xmlns=")
     head = docs.select("sender", "year", F.lit(0).alias("ord"), F.concat(
         F.lit('<?xml version="1.0"?>\n<'), p, F.lit("dataDocument "), xmlns,
-        F.lit('"http://www.fpml.org/FpML-5/confirmation">')).alias("value"))
+        F.lit('"http://www.fpml.org/FpML-5/confirmation">'),
+        F.lit("<!-- <trade> --><?note </trade>?>" if odd else "")).alias("value"))
+    empty = F.concat(F.lit("<"), p, F.lit("trade/>")) if odd else F.lit("")
     tail = docs.select("sender", "year", F.lit(2).alias("ord"),
-                       F.concat(F.lit("</"), p, F.lit("dataDocument>")).alias("value"))
+                       F.concat(empty, F.lit("</"), p, F.lit("dataDocument>")).alias("value"))
+    if odd:
+        tail = tail.union(rows.select("sender").distinct().select(
+            "sender", F.lit("broken"), F.lit(2), F.lit("<dataDocument><trade/><trade><swap></trade></dataDocument>")))
     lines = rows.select("sender", "year", F.lit(1).alias("ord"), trade.alias("value"))
     path = scratch_path(spark, "confirmations-fpml")
     (lines.union(head).union(tail).repartition("sender", "year")
@@ -642,6 +653,33 @@ def confirmations_fpml(spark, sf):
     return rows.withColumn("source_file_id", F.substring_index("source_file_id", "-", 1))
 
 
+@query
+def confirmations_fpml_odd(spark, sf):
+    """Documents with comments, CDATA, instructions and other elements that look like trades; the reason of rejected ones."""
+    env = stage(_envelopes(spark, _fpml_folder(spark, sf, odd=True), "FPML"), "envelopes")
+    rows, rejects = confirmations.read_all(spark, env)
+    both = rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.select(F.col("file_id").alias("source_file_id"), "reason"), allowMissingColumns=True)
+    return both.withColumn("source_file_id", F.substring_index("source_file_id", "-", 1))
+
+
+@query
+def confirmations_csv_multiline(spark, sf):
+    """One file per sender, in which quoted fields hold commas, quotes and line breaks."""
+    rows = fixtures.confirmation_rows(spark, sf)
+    names = [c for c in rows.columns if c != "sender"]
+    noted = F.when(F.col("TRADE_DATE").endswith("3"), F.concat(F.lit('"'), "DIRECTION", F.lit(',\n""side""\n"')))
+    lines = rows.select("sender", F.lit(1).alias("ord"), F.concat_ws(
+        ",", *[noted.otherwise(F.col(c)) if c == "DIRECTION" else F.col(c) for c in names]).alias("value"))
+    head = rows.select("sender").distinct().select("sender", F.lit(0).alias("ord"), F.lit(",".join(names)).alias("value"))
+    path = scratch_path(spark, "confirmations-multiline")
+    (lines.union(head).repartition("sender").sortWithinPartitions("sender", "ord").drop("ord")
+     .write.partitionBy("sender").text(path))
+    env = stage(_envelopes(spark, path), "envelopes")
+    rows, _ = confirmations.read_all(spark, env)
+    return rows.withColumn("source_file_id", F.substring_index("source_file_id", "-", 1))
+
+
 @query
 def new_files(spark, sf):
     """Arrivals of customer files, each order once: known customers and repeats are skipped."""
