@@ -1,5 +1,4 @@
 import datetime as dt
-import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -62,33 +61,6 @@ def test_stream_lookup_stand_in_name(spark):
     assert names["t1"] == ("one", "bank") and names["none"] == ("INSTRUMENT_I9", "bank")
 
 
-def brute(rows):
-    out = []
-    for key in {r[0] for r in rows}:
-        at = {}
-        for _, t, a in rows:
-            if _ == key:
-                at[t] = max(at.get(t, a), a)
-        states = []
-        for t in sorted(at):
-            if not states or states[-1][1] != at[t]:
-                states.append((t, at[t]))
-        for i, (t, a) in enumerate(states):
-            nxt = states[i + 1][0] if i + 1 < len(states) else None
-            out.append((key, a, t, nxt, nxt is None))
-    return sorted(out, key=str)
-
-
-def test_scd2_equals_brute_force_whatever_the_bucket(spark):
-    rnd = random.Random(3)
-    rows = [(rnd.choice("aaab"), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(900)),
-             rnd.choice("xy")) for _ in range(300)]
-    df = spark.createDataFrame(rows, "k string, changed_at timestamp, v string")
-    for bucket in ("hour", "day", "month"):
-        got = dims.build_scd2(df, "k", ["v"], bucket=bucket)
-        assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
-
-
 def test_scd2_null_attribute_is_a_state(spark):
     df = spark.createDataFrame([("k", ts(1), None), ("k", ts(2), None), ("k", ts(3), "x")],
                                "k string, changed_at timestamp, v string")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.operators.lookup import lookup
+from tradelake.operators.ordered import with_last
 
 INSTRUMENT_COLUMNS = ["instrument_id", "instrument_name", "asset_class", "sector"]
 
@@ -45,6 +46,21 @@ def asof_dim(df: DataFrame, dim: DataFrame, key: str, ts: str, cols,
     )
 
 
+def asof_carried(df: DataFrame, dim: DataFrame, key: str, ts: str, cols, dim_key: str | None = None) -> DataFrame:
+    """As ``asof_dim``, in work that does not grow with the versions per key: facts and versions are sorted
+    together in ranges of key and time, and the last version is carried along.
+
+    The choice where keys have more than some tens of versions, or one key has many versions and many facts;
+    ``asof_dim`` compares a fact with every version of its key, but need not move the facts.
+    """
+    dim_key = dim_key or key
+    at = df[ts].cast("timestamp")
+    needed = dim.filter(F.col("valid_from").isNotNull()).select(*dict.fromkeys([dim_key, *cols, "valid_from", "valid_to"]))
+    joined = with_last(df, key, at, needed, dim_key, "valid_from", "_version")
+    valid = F.col("_version.valid_to").isNull() | (F.col(ts).cast("timestamp") < F.col("_version.valid_to"))
+    return joined.select(*df.columns, *[F.when(valid, F.col(f"_version.{c}")).alias(c) for c in cols])
+
+
 def current_dim(df: DataFrame, dim: DataFrame, key: str, cols,
                 dim_key: str | None = None, small: bool | None = None) -> DataFrame:
     """``cols`` of the active version, whatever the trade's date."""

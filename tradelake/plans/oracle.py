@@ -305,6 +305,7 @@ _add("asof_instrument", """
     FROM valid t LEFT JOIN instruments i ON t.instrument_id = i.instrument_id
          AND t.trade_date >= i.valid_from AND (i.valid_to IS NULL OR t.trade_date < i.valid_to)""",
      "valid", "instruments")
+ORACLE["asof_instrument_carried"] = ORACLE["asof_instrument"]
 _add("current_instrument", """
     SELECT t.trade_id, t.event_type, t.instrument_id, i.instrument_name, i.sector
     FROM valid t LEFT JOIN instruments i ON t.instrument_id = i.instrument_id AND i.is_active""",

@@ -186,7 +186,7 @@ def dim_instruments_scd2(spark, sf):
 def trade_status_history(spark, sf):
     """Versions of each trade's status from all its raw rows."""
     return dims.build_scd2(fixtures.trades_raw(spark, sf), "trade_id", ["status", "currency"],
-                           "updated_at", bucket="month")
+                           "updated_at")
 
 
 @query
@@ -197,7 +197,7 @@ def overlapping_versions(spark, sf):
         F.concat(F.lit("I"), F.col("l_partkey").cast("string")).alias("instrument_id"),
         F.col("l_shipdate").cast("timestamp").alias("valid_from"),
         (F.col("l_shipdate").cast("timestamp") + F.expr("INTERVAL 60 DAYS")).alias("valid_to"))
-    return dims.overlapping_versions(spans, "instrument_id", bucket="month")
+    return dims.overlapping_versions(spans, "instrument_id")
 
 
 @query
@@ -208,6 +208,14 @@ def asof_instrument(spark, sf):
                            cols)
 
 
+@query
+def asof_instrument_carried(spark, sf):
+    """The same by carrying versions along: for keys with many of them."""
+    cols = ["instrument_name", "asset_class", "sector"]
+    return enrich.asof_carried(_valid(spark, sf).select(*TRADE_KEY, "instrument_id", "trade_date"),
+                               fixtures.dim_instruments(spark, sf), "instrument_id", "trade_date", cols)
+
+
 @query
 def current_instrument(spark, sf):
     return enrich.current_dim(_valid(spark, sf).select(*TRADE_KEY, "instrument_id"),
