@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 from rows import trade, trades, ts
 
-from tradelake import dims, enrich, keys, lookup, marts
+from tradelake import dims, enrich, keys, marts
 
 VERSION = ("instrument_id string, instrument_name string, asset_class string, sector string, "
            "is_active boolean, valid_from timestamp, valid_to timestamp")
@@ -38,20 +38,23 @@ def test_current_version(spark):
     assert got.count() == 7
 
 
-def test_batch_lookup_broadcasts_only_small_dims(spark):
-    dim = enrich.current(instruments(spark))
-    for small, join in ((None, "BroadcastHashJoin"), (False, "SortMergeJoin")):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        got = enrich.enrich_batch(facts(spark), dim, small)
-        plan = got._jdf.queryExecution().toString()
-        assert got.count() == 7
+def test_lookup_broadcasts_by_bytes_without_a_job(spark, new_path):
+    path = new_path("dim")
+    enrich.current(instruments(spark)).write.parquet(path)
+    dim = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookups", "")
+    try:
+        for threshold, join in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            got = enrich.enrich_batch(facts(spark), dim)
+            assert not tracker.getJobIdsForGroup("lookups")
+            plan = got._jdf.queryExecution().toString()
+            assert join in plan[plan.index("== Physical Plan =="):]
+    finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        assert join in plan[plan.index("== Physical Plan =="):]
-
-
-def test_small_ones(spark):
-    frames = {"a": spark.range(5), "b": spark.range(6), "c": spark.range(0)}
-    assert lookup.small_ones(frames, 5) == {"a", "c"}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got.count() == 7
 
 
 def test_stream_lookup_stand_in_name(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -80,6 +81,35 @@ def test_offset_pages_near_and_deep(fact):
         assert keys(got) == full[page * size:(page + 1) * size]
 
 
+def test_deep_pages_are_found_by_counting_ranges(fact, monkeypatch):
+    """Whatever a task may hold; with keys that a third of all rows share, and rows repeated very often."""
+    odd = fact.withColumn("trade_id", F.when(F.crc32("trade_id") % 3 > 0, F.col("trade_id")))
+    odd = odd.unionAll(odd.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("n"))
+    columns = ["trade_id", "event_type", "notional", "status"]
+
+    def pages(direct, size):
+        monkeypatch.setattr(search, "DIRECT", direct)
+        out, page = [], 0
+        while True:
+            got = [tuple(r) for r in search.search_trades_page(odd, *RANGE, page=page, size=size, fields=columns).collect()]
+            if not got:
+                return out
+            out, page = out + got, page + 1
+
+    at_once = pages(10_000, 45)
+    assert len(at_once) == odd.count()
+    assert pages(20, 45) == at_once
+    assert sorted(at_once, key=str) == sorted((tuple(r) for r in odd.select(*columns).collect()), key=str)
+
+
+def test_pages_write_nothing(spark, fact, monkeypatch):
+    monkeypatch.setattr(search, "DIRECT", 20)
+    before = sorted(os.walk(spark.conf.get("spark.checkpoint.dir")))
+    search.search_trades_page(fact, *RANGE, page=0, size=10).collect()
+    search.search_trades_page(fact, *RANGE, page=8, size=10).collect()
+    assert sorted(os.walk(spark.conf.get("spark.checkpoint.dir"))) == before
+
+
 def test_pages_keep_rows_without_id_or_type(fact):
     odd = fact.withColumns({
         "trade_id": F.when(F.col("trade_id") >= "T003", F.col("trade_id")),

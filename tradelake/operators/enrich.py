@@ -81,12 +81,11 @@ def enrich_stream(df: DataFrame, instruments: DataFrame, counterparties: DataFra
                   small: dict[str, bool] | None = None) -> DataFrame:
     """Instrument name and class, counterparty name, for streams and batches alike.
 
-    A trade of an unknown instrument keeps the stand-in name ``INSTRUMENT_<id>``.  In a
-    stream no broadcast is forced, for the tables may grow while it runs: Spark looks
+    A trade of an unknown instrument keeps the stand-in name ``INSTRUMENT_<id>``.  No
+    broadcast is forced, for the tables may grow while a stream runs: Spark looks
     at their size anew in every micro-batch.
     """
-    if small is None:
-        small = {"instruments": False, "counterparties": False} if df.isStreaming else {}
+    small = small or {}
     named = current_dim(df, instruments, "instrument_id", ["instrument_name", "asset_class"],
                         small=small.get("instruments"))
     named = plain_dim(named, counterparties, "counterparty_lei", ["counterparty_name"],

@@ -1,41 +1,18 @@
-"""Left lookups whose broadcast is decided by a counted size, not assumed."""
+"""Left lookups whose broadcast is decided by bytes: Spark's own estimate, then the measured size."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many lookup rows go to every executor.  Lookup rows are short (a key
-# and a few declared-length texts), so this stays well below 100 MB.
-BROADCAST_ROWS = 200_000
-
-
-def small_ones(frames: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> set[str]:
-    """Names of the frames with at most ``max_rows`` rows, counted in one job.
-
-    Counting a stored table reads no columns, only the row counts in its file footers.
-    """
-    if not frames:
-        return set()
-    probes = [df.select(F.lit(name).alias("name")) for name, df in frames.items()]
-    counted = reduce(DataFrame.unionAll, probes).groupBy("name").count()
-    large = {r["name"] for r in counted.filter(F.col("count") > max_rows).collect()}
-    return set(frames) - large
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return bool(small_ones({"it": df}, max_rows))
-
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Column | str | list[str],
            small: bool | None = None, how: str = "left") -> DataFrame:
-    """Join ``dim`` onto ``fact``.
+    """Join ``dim`` onto ``fact``; no job runs while the plan is built.
 
-    A small ``dim`` is broadcast, so ``fact`` is not moved.  A larger one is joined by
-    a shuffle, where AQE splits the fact side of a hot key over many tasks.
+    A ``dim`` below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, so ``fact`` is not moved: at once
+    where the files tell its size, else by AQE when it has been computed.  A larger one is joined by a
+    shuffle, where AQE splits the fact side of a hot key over many tasks.  ``small=True`` is for a caller that
+    has a bound on the size of ``dim``: it is broadcast whatever Spark estimates.
     """
-    if small is None:
-        small = is_small(dim)
     return fact.join(F.broadcast(dim) if small else dim, on, how)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tradelake.operators import dedup
 from tradelake.operators.enrich import current
 from tradelake.schemas import INSTRUMENT_ROW, TRADE_KEY, TRADE_ROW
-from tradelake.session import stage
 
 # The most rows that a page and a nested list may have; more than that is refused.
 PAGE_MAX = 1000
 NESTED_MAX = 500
+# Rows that one task may hold to find a page
+DIRECT = 10_000
 STEP = ["updated_at", "event_type", "status", "notional"]
 
 
@@ -103,25 +104,68 @@ def search_trades_page(df: DataFrame, from_date, to_date, asset_class=None, desk
                        fields=None) -> DataFrame:
     """Page number ``page`` of ``size`` rows in (trade_id, event_type) order, NULLs first.
 
-    The hits are sorted in ranges and written once to the shared folder with their place in
-    their range; a row's place in all is that plus the sizes of the ranges before, one row
-    each.  So every page takes the same way and no task holds the rows that are skipped.
+    Rows of equal keys come in the order of a hash of the page's columns, so pages never
+    overlap.  A page within the first ``DIRECT`` rows is read at once.  For one behind them the
+    sorted keys are counted in ranges, again and again within the ranges that hold the page,
+    until few rows are left; just those are read.  Nothing is written, and no task holds the
+    rows that are skipped.
     """
     if page < 0:
         raise ValueError("page must not be negative")
     first = page * _checked(size, PAGE_MAX)
     columns = list(fields or [*TRADE_ROW, "event_type"])
     hits = matching(df, from_date, to_date, asset_class, desk, book_id, status)
-    place = F.monotonically_increasing_id()  # the range in the upper bits, then the row in it
-    hits = stage(hits.orderBy(*TRADE_KEY).select(
-        *columns, F.shiftright(place, 33).alias("_range"),
-        place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")), "page")
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = hits.groupBy("_range").count().select(
-        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    at = F.col("_before") + F.col("_at")
-    return (hits.join(F.broadcast(ranges), "_range").filter((at >= first) & (at < first + size))
-            .orderBy(at).select(*columns))
+    if first + size > DIRECT:
+        hits, first = _around(hits, columns, first, size)
+    return hits.orderBy(*TRADE_KEY, F.xxhash64(*columns)).offset(first).limit(size).select(*columns)
+
+
+def _around(hits: DataFrame, columns: list[str], first: int, size: int) -> tuple[DataFrame, int]:
+    """The rows of the ranges that hold a page, and where in them it begins."""
+    spark = hits.sparkSession
+    ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hashed, key = F.xxhash64(*columns), list(TRADE_KEY)
+    while True:
+        order = [F.col(c) for c in TRADE_KEY] + ([hashed.alias("_tie")] if len(key) > 2 else [])
+        counted = hits.select(*order).repartitionByRange(ranges, *key).groupBy(F.spark_partition_id().alias("range")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"))
+        found = sorted(counted.collect(), key=lambda r: r["range"])  # one row per range
+        at, held = 0, []
+        for r in found:
+            if at + r["rows"] > first and at < first + size:
+                held.append((at, r))
+            at += r["rows"]
+        if not held:
+            return hits.limit(0), 0
+        before, rows = held[0][0], sum(r["rows"] for _, r in held)
+        low, high = held[0][1]["low"], held[-1][1]["high"]
+        hits = hits.filter(_from(key, low, hashed, False) & _from(key, high, hashed, True))
+        first -= before
+        if first + size <= DIRECT:
+            return hits, first
+        if len(key) > 2 and low == high:  # any of these rows will do, for they are all the same
+            return hits.limit(min(size, rows - first)), 0
+        if rows == at and len(key) > 2:  # the page parts two rows that are repeated very often
+            return hits, first
+        if rows == at:  # one key holds them all: go on by the hash of its rows
+            key = [*TRADE_KEY, "_tie"]
+
+
+def _from(key: list[str], bound, hashed: Column, below: bool) -> Column:
+    """Rows not before ``bound`` in the order of ``key``, or not behind it; a NULL comes first."""
+    out = F.lit(True)
+    for name in reversed(key):
+        column = hashed if name == "_tie" else F.col(name)
+        value = bound[name]
+        equal = column.eqNullSafe(F.lit(value))
+        if value is None:
+            beyond = F.lit(False) if below else column.isNotNull()
+        elif below:
+            beyond = column.isNull() | (column < value)
+        else:
+            beyond = F.coalesce(column > value, F.lit(False))
+        out = F.coalesce(beyond, F.lit(False)) | (equal & out)
+    return out
 
 
 def find_trade(df: DataFrame, trade_id: str, fields=None) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.keys import surrogate_key
 from tradelake.operators import enrich
-from tradelake.operators.lookup import small_ones
 from tradelake.schemas import MONEY
 
 FACT_COLUMNS = [
@@ -48,9 +47,9 @@ def with_audit(df: DataFrame, run_id: str) -> DataFrame:
                            "dbt_invocation_id": F.lit(run_id)})
 
 
-def _fx(df: DataFrame, fx: DataFrame, small: bool | None) -> DataFrame:
+def _fx(df: DataFrame, fx: DataFrame) -> DataFrame:
     rates = fx.select(F.col("currency"), F.col("rate_date").alias("trade_date"), "usd_rate")
-    return enrich.lookup(df, rates, ["currency", "trade_date"], small)
+    return enrich.lookup(df, rates, ["currency", "trade_date"])
 
 
 def build_fct_trades(trades: DataFrame, dims: dict[str, DataFrame], fx: DataFrame,
@@ -63,23 +62,19 @@ def build_fct_trades(trades: DataFrame, dims: dict[str, DataFrame], fx: DataFram
     """
     if mode not in ("asof", "current"):
         raise ValueError(f"unknown mode: {mode}")
-    small = small_ones({**dims, "fx": fx})
 
     def versioned(df, name, key, cols):
         if mode == "asof":
-            return enrich.asof_dim(df, dims[name], key, "trade_date", cols,
-                                   small=name in small)
-        return enrich.current_dim(df, dims[name], key, cols, small=name in small)
+            return enrich.asof_dim(df, dims[name], key, "trade_date", cols)
+        return enrich.current_dim(df, dims[name], key, cols)
 
     out = versioned(trades, "instruments", "instrument_id",
                     ["instrument_name", "asset_class", "sector"])
-    out = _fx(out, fx, "fx" in small)
+    out = _fx(out, fx)
     out = versioned(out, "traders", "trader_id", ["trader_name", "desk"])
-    out = enrich.plain_dim(out, dims["books"], "book_id", ["book_name", "region"],
-                           small="books" in small)
+    out = enrich.plain_dim(out, dims["books"], "book_id", ["book_name", "region"])
     out = enrich.plain_dim(out, dims["counterparties"], "counterparty_lei",
-                           ["counterparty_name", "credit_rating"], dim_key="lei_code",
-                           small="counterparties" in small)
+                           ["counterparty_name", "credit_rating"], dim_key="lei_code")
     return out.withColumns({
         "notional_usd": (F.col("notional") * F.col("usd_rate")).cast(MONEY),
         "trade_sk": surrogate_key("trade_id", "event_type"),

@@ -464,6 +464,10 @@ _add("keyed_envelope", """
            'correlationId=' || md5(trade_id) || ';sourceSystem=LAKE;schemaVersion=v1' AS headers
     FROM event_ok""", "event_ok")
 
+_add("sequenced_envelope", """
+    SELECT instrument_id AS key, trade_id, row_number() OVER (PARTITION BY instrument_id ORDER BY ms, trade_id) AS sequence
+    FROM event_ok""", "event_ok")
+
 # --- Reads -----------------------------------------------------------------------------------------------
 
 _ROW = """trade_id, instrument_id, instrument_name, asset_class, notional, notional_usd, currency,

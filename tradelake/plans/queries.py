@@ -446,6 +446,16 @@ def keyed_envelope(spark, sf):
         .alias("headers"))
 
 
+@query
+def sequenced_envelope(spark, sf):
+    """Messages of each instrument numbered in the order of their events."""
+    rows = parse.split_valid(_events(spark, sf))[0].select(
+        "trade_id", "instrument_id", F.unix_millis("event_ts").alias("event_ms"), F.md5("trade_id").alias("correlation_id"))
+    out = envelope.trade_messages(rows, "LAKE", order_by=["event_ms", "trade_id"], sequence="sequence")
+    sequence = F.filter("headers", lambda h: h["key"] == "sequence")[0]["value"].cast("string").cast("long")
+    return out.select("key", F.get_json_object("value", "$.trade_id").alias("trade_id"), sequence.alias("sequence"))
+
+
 # --- Reads --------------------------------------------------------------------------------------
 
 def _searchable(spark, sf):
