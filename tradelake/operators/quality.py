@@ -140,27 +140,33 @@ def unique_combination(*cols: str) -> Check:
 
 
 def run_suite(df: DataFrame, checks) -> DataFrame:
-    """(test, failures, status), one row per check.
+    """(test, failures, status), one row per check, from one evaluation of ``df``.
 
-    All row checks share one aggregation.  Each uniqueness check counts per key with a
-    partial count before its shuffle and reads only its key columns.
+    Each row stands once for the row checks and once under its key for every uniqueness check; a first
+    aggregate counts per key, with partial counts before its shuffle, so the row checks and a key that very
+    many rows share are one row per task there; a second one counts the keys that occur twice.
     """
-    row_checks = [c for c in checks if c.fails is not None]
-    parts = []
-    if row_checks:
-        counted = df.agg(*[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(row_checks)])
-        parts.append(counted.select(F.inline(F.array(*[
-            F.struct(F.lit(c.name).alias("test"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(row_checks)
-        ]))))
-    for check in (c for c in checks if c.unique):
-        keyed = df.select(*check.unique)
-        if not check.null_is_value:
-            keyed = keyed.dropna()
-        twice = keyed.groupBy(*check.unique).count().filter(F.col("count") > 1)
-        parts.append(twice.agg(F.lit(check.name).alias("test"),
-                               F.count(F.lit(1)).alias("failures")))
-    return reduce(DataFrame.unionByName, parts).withColumn(
+    rules = [c for c in checks if c.fails is not None]
+    keyed = [c for c in checks if c.unique]
+    counts = [f"c{i}" for i in range(len(rules))]
+
+    def key_of(check: Check) -> Column:
+        key = F.to_json(F.struct(*check.unique), {"ignoreNullFields": "false"})
+        if check.null_is_value:
+            return key
+        return F.when(reduce(Column.__and__, [F.col(c).isNotNull() for c in check.unique]), key)
+
+    stands = [F.struct(F.lit(-1).alias("check"), F.lit("").alias("key"))]
+    stands += [F.struct(F.lit(i).alias("check"), key_of(c).alias("key")) for i, c in enumerate(keyed)]
+    rows = df.select(*[F.coalesce(c.fails, F.lit(False)).alias(n) for c, n in zip(rules, counts)],
+                     F.inline(F.filter(F.array(*stands), lambda s: s["key"].isNotNull())))
+    own = F.col("check") == -1
+    per_key = rows.groupBy("check", "key").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(own & F.col(n)).alias(n) for n in counts])
+    found = per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts],
+                        *[F.count_if((F.col("check") == i) & (F.col("rows") > 1)).alias(f"u{i}") for i in range(len(keyed))])
+    named = [*zip(rules, counts), *((c, f"u{i}") for i, c in enumerate(keyed))]
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(c.name).alias("test"), F.col(n).cast("long").alias("failures")) for c, n in named]))).withColumn(
         "status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
