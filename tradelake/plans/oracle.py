@@ -619,6 +619,9 @@ _add("stream_start_all", """
 _add("stream_late_data", """
     SELECT 'raw' AS output, 2 * count(*) AS rows FROM event_ok
     UNION ALL SELECT 'windows', CAST(sum(trade_count) AS BIGINT) FROM closed""", "closed")
+_add("stream_late_rows", """
+    SELECT count(*) AS dropped FROM (SELECT DISTINCT CAST(trade_id[2:] AS BIGINT) % 104, instrument_id,
+        time_bucket(INTERVAL 5 MINUTE, event_ts, TIMESTAMP '1970-01-01') FROM event_ok)""", "event_ok")
 _add("stream_upsert", """
     SELECT instrument_id AS trade_id, 'NEW' AS event_type, notional, currency,
            event_ts AS updated_at

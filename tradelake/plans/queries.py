@@ -848,6 +848,33 @@ def stream_late_data(spark, sf):
                                     F.sum("trade_count").alias("rows")))
 
 
+@query
+def stream_late_rows(spark, sf):
+    """What the watermark drops over more than a hundred micro-batches: all events, after two from long after them."""
+    folder, batches = scratch_path(spark, "stream-late"), 104
+    events = fixtures.trade_events_json(spark, sf)
+    for n in range(2):  # the second batch is the first to know of the watermark, the third to drop by it
+        late = F.lit('{"tradeId":"L","instrumentId":"L","notional":1,"currency":"USD","eventTimestamp":4102444800000}')
+        spark.range(1).select(late.alias("value")).coalesce(1).write.mode("append").text(f"{folder}/part=first{n}")
+    number = F.substring(F.get_json_object("value", "$.tradeId"), 2, 20).cast("long")
+    (events.select("value", F.coalesce(number % batches, F.lit(0)).alias("part")).repartition(batches, "part")
+     .write.mode("append").partitionBy("part").text(folder))
+    seen = streaming.LateRows(spark, scratch_path(spark, "late"))
+    spark.streams.addListener(seen)
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")  # the state of a hundred small batches
+    try:
+        stream = lake.read_event_stream(spark, "text", folder, {"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"})
+        valid = parse.split_valid(parse.parse_events(stream))[0]
+        q = streaming.write_metrics(streaming.windowed_notional(valid), scratch_path(spark, "win"), scratch_path(spark, "ckpt"), AVAILABLE)
+        q.awaitTermination()
+        seen.wait(q)
+    finally:
+        spark.streams.removeListener(seen)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    return seen.totals().select("dropped")
+
+
 @query
 def stream_upsert(spark, sf):
     """The newest event per instrument, kept in a table by a stream."""

@@ -1,14 +1,17 @@
 """Trade event streams: land, reject, aggregate, merge.
 
-Each output is a query of its own with its own checkpoint.  File outputs are
+Events are parsed once, and each output is a query of its own with its own checkpoint.  File outputs are
 exactly-once; the merge is idempotent, so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tradelake.functions.parse import parse_events, split_valid
 from tradelake.operators import dedup, enrich, merge, windows
@@ -98,15 +101,31 @@ def upsert_to_table(df: DataFrame, path: str, checkpoint: str, trigger=None,
             .trigger(**(trigger or TRIGGER)).start())
 
 
+def write_parsed(parsed: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
+    """Parsed events, valid and rejected ones, as files that further queries read as a stream."""
+    return (parsed.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or TRIGGER)).start())
+
+
 def start_all(events: DataFrame, instruments: DataFrame, counterparties: DataFrame,
               paths: dict[str, str], checkpoints: str, trigger=None) -> list[StreamingQuery]:
-    """Dead letters, raw landing and window aggregate of one event stream.
+    """Dead letters, raw landing and window aggregate of one event stream, which is read and parsed once.
 
-    ``events`` is (value, _record_ts); ``paths``: dead_letters, raw, metrics.
+    ``events`` is (value, _record_ts); ``paths``: parsed, dead_letters, raw, metrics.  The first query lands the
+    parsed events; the others read what it has landed.  All of them write files exactly once, so each may stop and start
+    again by itself.  With a trigger that ends, the first query is waited for before the others start.
     """
-    valid, invalid = split_valid(parse_events(events))
+    parsed = parse_events(events)
+    landed = paths.get("parsed") or f"{paths['raw'].rstrip('/')}-parsed"
+    first = write_parsed(parsed, landed, f"{checkpoints}/parsed", trigger)
+    if {"availableNow", "once"} & set(trigger or ()):
+        first.awaitTermination()
+    else:  # a folder can be read as a stream before the first batch has come
+        parsed.sparkSession.createDataFrame([], parsed.schema).write.mode("append").parquet(landed)
+    valid, invalid = split_valid(parsed.sparkSession.readStream.schema(parsed.schema).parquet(landed))
     enriched = enrich.enrich_stream(valid, instruments, counterparties)
     return [
+        first,
         write_dead_letters(invalid, paths["dead_letters"], f"{checkpoints}/dead_letters", trigger),
         write_raw(enriched, paths["raw"], f"{checkpoints}/raw", trigger),
         write_metrics(windowed_notional(enriched), paths["metrics"],
@@ -114,8 +133,49 @@ def start_all(events: DataFrame, instruments: DataFrame, counterparties: DataFra
     ]
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows that came after their window had closed, so far."""
-    return sum(op["numRowsDroppedByWatermark"]
-               for progress in query.recentProgress
-               for op in progress["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Writes down what watermarks drop: a row per micro-batch that dropped some, in a table below ``path``.
+
+    Add it with ``spark.streams.addListener`` before the queries start.  Progress of any number of batches is
+    kept, over restarts too; a batch that is repeated counts once.  An aggregate drops what its groups
+    have become: one row per group and batch.
+    """
+
+    SCHEMA = "query string, batch long, dropped long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        if dropped:
+            row = [(str(progress.id), progress.batchId, dropped)]
+            self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> bool:
+        """Waits until all that a finished query has reported is written; progress is reported behind time."""
+        with self._change:
+            return self._change.wait_for(lambda: str(query.runId) in self._ended, seconds)
+
+    def totals(self) -> DataFrame:
+        """(query, dropped) over all batches."""
+        try:
+            rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except AnalysisException:  # nothing was dropped yet
+            rows = self.spark.createDataFrame([], self.SCHEMA)
+        once = rows.groupBy("query", "batch").agg(F.max("dropped").alias("dropped"))
+        return once.groupBy("query").agg(F.sum("dropped").alias("dropped"))
