@@ -3,6 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+def thue_morse(n):
+    """A word that sums modulo a power of two cannot tell from the one with its letters exchanged."""
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
 @pytest.fixture(scope="session")
 def odd_rows():
     """(doc_id, text): copies, near copies, shared passages, nulls, empty, blank, long and repeated rows."""
@@ -17,6 +21,8 @@ def odd_rows():
     rows += [(7, None), (8, ""), (9, " \n\t"), (None, base[0]), (None, None), (None, text(40)),
              (50, "a" * 1500), (51, "ab " * 400), (52, "a" * 700), (53, (passage + "\n") * 20),
              (54, "x\x00y\x00" * 80), (-4, text(50) + " " + passage), (-4, text(30) + " " + passage),
+             (60, thue_morse(1024)), (61, thue_morse(1024)[::-1].translate({97: 98, 98: 97})), (62, thue_morse(1024).translate({97: 98, 98: 97})),
+             (63, " ".join([thue_morse(1024)] * 14)), (64, " ".join([thue_morse(1024).translate({97: 98, 98: 97})] * 14)),
              (300, base[2]), (300, base[2]), (55, text(4000)), (56, "\x85   " + passage), (10**12, base[3])]
     return rows
 
@@ -26,7 +32,7 @@ def odd_docs(spark, odd_rows):
     df = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(odd_rows)],
                                "doc_id long, text string, lang string, source string, n_chars long")
     return df.select("*", *(F.lit("clash").alias(c) for c in
-                            ("chunk", "bucket", "words", "n_words", "kept", "score", "shard", "h", "kind")))
+                            ("chunk", "bucket", "words", "n_words", "kept", "score", "shard", "h", "kind", "path", "_key", "_class", "_digest", "_KEY_", "row")))
 
 @pytest.fixture
 def no_docs(odd_docs):

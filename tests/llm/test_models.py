@@ -1,10 +1,11 @@
 """Quality classifier and toxicity grades: held-out accuracy, and odd rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tradelake.llm import quality, queries, toxicity
+from tradelake.llm import quality, queries, sampling, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -58,6 +59,20 @@ def test_quality_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert quality.train(no_docs, labels)[0] is None
 
 
+def test_sample_does_not_depend_on_texts_that_many_rows_share(spark):
+    """A third of all rows has one text, a third of those no id: the sample keeps to its bound and has its share of them."""
+    docs = spark.range(9000).select(F.when(F.col("id") % 9 != 0, F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") % 3 == 0, "copyright").otherwise(F.concat(F.lit("words of "), "id")).alias("text"))
+    chosen = docs.filter(sampling.by_hash(3000, 9000, quality._own_id())).collect()
+    assert abs(len(chosen) - 3000) < 200
+    assert abs(sum(r.text == "copyright" for r in chosen) - 1000) < 150 and abs(sum(r.doc_id is None for r in chosen) - 333) < 100
+
+
+def test_scores_of_all_rows_are_counted(spark, odd_docs, odd_rows):
+    model = quality.fit(*np.random.default_rng(1).normal(size=(2, 50, quality.features(pa.array(["a"])).shape[1])), None, epochs=1)
+    assert quality.score_counts(odd_docs, model).sum() == len(odd_rows)
+
+
 def test_toxic_texts_are_found_and_clean_ones_left(spark, labels):
     got = queries.op7_toxicity(spark, SF).join(labels, "doc_id").collect()
     toxic, clean = [r for r in got if r.label == 1], [r for r in got if r.label == 0]

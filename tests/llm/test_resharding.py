@@ -63,6 +63,24 @@ def test_more_old_shards_than_new_with_one_untouched(spark, old, new_path):
     assert {r.shard for r in spark.read.parquet(path).select("shard").distinct().collect()} == set(range(1, 8))
 
 
+def test_equal_rows_are_dealt_evenly(spark):
+    docs = spark.range(1600).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"), F.lit(0).alias("old_shard"))
+    got = resharding.slots(resharding.reshard(docs, 8), "doc_id", "text").collect()
+    shards = {j: sorted(r.slot for r in got if r.shard == j) for j in range(8)}
+    assert all(abs(len(s) - 200) <= 1 and s == list(range(len(s))) for s in shards.values())
+
+
+def test_columns_of_files_and_names_that_clash(spark, new_path):
+    path = new_path()
+    spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("p").alias("path"), F.lit(7).alias("old_shard"),
+                            F.lit("x").alias("PATH_")).repartition(3).write.parquet(path)
+    docs = resharding.file_shards(spark.read.parquet(path))
+    assert docs.count() == 200 and {r.old_shard for r in docs.collect()} == {0, 1, 2}
+    assert docs.select("path").distinct().collect() == [("p",)]
+    got = resharding.reshard(docs, 4, row=resharding.ROW_IN_FILE).collect()
+    assert len(got) == 200 and len({r.shard for r in got}) == 4
+
+
 def test_empty_table(no_docs):
     assert resharding.slots(resharding.reshard(no_docs.withColumn("old_shard", F.lit(0)), 8), "doc_id").collect() == []
 

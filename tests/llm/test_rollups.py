@@ -1,6 +1,7 @@
 from collections import Counter
 
 import public_tokenizers as public
+import pytest
 import tiktoken
 from brute import SF
 from pyspark.sql import functions as F
@@ -58,3 +59,25 @@ def test_batches_count_once(spark):
     assert not totals.commit("b", rollups.deleted(change((1, "s", "en", "v", 5))))
     assert totals.commit("c", rollups.deleted(change((1, "s", "en", "v", 5))))
     assert {tuple(r) for r in totals.totals().collect()} == {("t", "en", "w", 1, 8)}
+
+
+def test_a_compacted_rollup_is_the_same_for_all_who_open_it(spark, monkeypatch):
+    def change(*rows):
+        return rollups.inserted(spark.createDataFrame(rows, "doc_id long, source string, lang string, version string, n_tokens long"))
+
+    one = rollups.Rollup(spark)
+    one.commit("a", change((1, "s", "en", "v", 5)))
+    one.compact()
+    one.commit("b", change((2, "s", "en", "v", 7)))
+    other = rollups.Rollup(spark, one.path)
+    assert other.committed("a") and other.committed("b") and not other.commit("b", change((2, "s", "en", "v", 7)))
+    assert [tuple(r) for r in other.totals().collect()] == [("s", "en", "v", 2, 12)]
+    # a break before the new generation is made current: it counts for nobody, and the next one takes its place
+    with monkeypatch.context() as m:
+        m.setattr(rollups.Rollup, "_make_current", lambda *a: (_ for _ in ()).throw(OSError()))
+        with pytest.raises(OSError):
+            other.compact()
+    one.commit("c", change((3, "t", "en", "v", 1)))
+    other.compact()
+    one.commit("d", change((4, "t", "en", "v", 1)))
+    assert {tuple(r) for r in rollups.Rollup(spark, one.path).totals().collect()} == {("s", "en", "v", 2, 12), ("t", "en", "v", 2, 2)}

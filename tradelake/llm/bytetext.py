@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -68,38 +69,74 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
 
 
+PRIME = (1 << 61) - 1
+BLOCK = 1 << 14
+LONG_RANGE = 1 << 22  # of so many bytes the sums below cannot overflow
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & U64(PRIME)) + (x >> U64(61))
+    return x - U64(PRIME) * (x >= U64(PRIME))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2 ** 61 - 1, for numbers below it."""
+    ah, al, bh, bl = a >> U64(31), a & U64(0x7FFFFFFF), b >> U64(31), b & U64(0x7FFFFFFF)
+    middle = ah * bl + al * bh
+    return _reduced(((ah * bh) << U64(1)) + (middle >> U64(30)) + ((middle & U64((1 << 30) - 1)) << U64(31)) + _reduced(al * bl))
+
+
 def powers(n: int, base: int = BASE, inverse: bool = False) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; the inverse powers if asked for."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 61 - 1; the inverse powers if asked for."""
     have = _POWERS.get((base, inverse))
     if have is None or len(have) < n:
-        step = pow(base, -1, 1 << 64) if inverse else base
-        have = np.full(max(n, 1 << 16), step & MASK64, U64)
-        have[0] = 1
-        have = np.cumprod(have, dtype=U64)
+        step = pow(base, -1, PRIME) if inverse else base % PRIME
+        have = np.ones(1, U64) if have is None else have
+        while len(have) < max(n, 1 << 16):
+            have = np.concatenate((have, times(have, U64(pow(step, len(have), PRIME)))))
         if n <= 1 << 23:
             _POWERS[base, inverse] = have
     return have[:n]
 
 
 class Prefix:
-    """Rabin-Karp prefix sums of a byte array: the hash of any range in constant time."""
+    """Rabin-Karp prefix sums of a byte array modulo the prime 2 ** 61 - 1: the hash of any range in constant time.
+
+    Modulo a power of two there are texts that collide for every base; modulo a prime two given ranges
+    of n bytes collide for n of all bases at most.
+    """
 
     def __init__(self, data: np.ndarray, base: int = BASE):
-        self.n, self.base = len(data), base
-        self.sums = np.zeros(self.n + 1, U64)
-        np.cumsum((data.astype(U64) + U64(1)) * powers(self.n, base), out=self.sums[1:])
+        self.data, self.n, self.base = data, len(data), base
+        self.low, self.high = np.zeros(self.n + 1, U64), np.zeros(self.n + 1, U64)
+        power, value = powers(self.n, base), data.astype(U64) + U64(1)
+        np.cumsum(value * (power & U64(0xFFFFFFFF)), out=self.low[1:])
+        np.cumsum(value * (power >> U64(32)), out=self.high[1:])
+
+    @staticmethod
+    def _range(low: np.ndarray, high: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        if len(low) > BLOCK:  # what fits a processor's cache is worked on several times as fast
+            out = np.empty(len(low), U64)
+            for i in range(0, len(low), BLOCK):
+                out[i:i + BLOCK] = Prefix._range(low[i:i + BLOCK], high[i:i + BLOCK], shift[i:i + BLOCK])
+            return out
+        high = (high >> U64(29)) + ((high & U64((1 << 29) - 1)) << U64(32))
+        return times(_reduced(_reduced(low) + _reduced(high)), shift)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Unmixed hashes of the ranges [start, end); equal bytes give equal hashes."""
-        return (self.sums[ends] - self.sums[starts]) * powers(self.n + 1, self.base, True)[starts]
+        out = self._range(self.low[ends] - self.low[starts], self.high[ends] - self.high[starts],
+                          powers(self.n + 1, self.base, True)[starts])
+        for i in np.flatnonzero(np.asarray(ends) - np.asarray(starts) > LONG_RANGE):
+            digest = blake2b(self.data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=self.base.to_bytes(8, "little")).digest()
+            out[i] = int.from_bytes(digest, "little") % PRIME
+        return out
 
     def every(self, k: int) -> np.ndarray:
         """The hash of the k bytes from each position on, as far as there are k."""
         m = max(0, self.n - k + 1)
-        return (self.sums[k:k + m] - self.sums[:m]) * powers(self.n + 1, self.base, True)[:m]
+        return self._range(self.low[k:k + m] - self.low[:m], self.high[k:k + m] - self.high[:m], powers(self.n + 1, self.base, True)[:m])
 
 
 @lru_cache(None)

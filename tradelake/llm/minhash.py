@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.llm import bytetext as bt
+from tradelake.llm.names import unused
 from tradelake.llm.ship import ship
 from tradelake.session import stage
 
@@ -402,6 +403,7 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     doc_id and text, any."""
     ship(docs.sparkSession)
     own, key = _keyed(docs)
-    heads = _members(own, threshold, bands, rows).filter("of_head").select(F.col("key").alias("_key"), F.col("class_id").alias("_class"))
-    kept = docs.withColumn("_key", key).join(heads, "_key").filter(F.col("doc_id").cast("long").eqNullSafe(F.col("_class")))
-    return kept.dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
+    of_text, of_class = unused(docs, "_key", "_class")
+    heads = _members(own, threshold, bands, rows).filter("of_head").select(F.col("key").alias(of_text), F.col("class_id").alias(of_class))
+    kept = docs.withColumn(of_text, key).join(heads, of_text).filter(F.col("doc_id").cast("long").eqNullSafe(F.col(of_class)))
+    return kept.dropDuplicates([of_text, "doc_id"]).select(*docs.columns)

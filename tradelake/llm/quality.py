@@ -24,6 +24,7 @@ from tradelake.llm.ship import ship
 
 POSITIVES, UNLABELLED = 20_000, 40_000
 HIDDEN = 24
+BINS, REACH = 4096, 16.0
 # Signs counted as symbols
 SYMBOLS = b"#*$%&|<>"
 PUNCTUATION = b".,;:?'\"()-"
@@ -142,11 +143,23 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.0
 
     Cuts that leave less than ``least`` of the positives are too noisy to look at.
     """
-    p, u = np.sort(positive), np.sort(unlabelled)
-    cuts = np.quantile(p, np.linspace(0, 1 - least, 200))
-    tail_p = 1 - np.searchsorted(p, cuts) / len(p)
-    tail_u = 1 - np.searchsorted(u, cuts) / len(u)
-    slack = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(u)) + tail_u / tail_p / np.sqrt(len(p)))
+    return prior_of(positive, np.bincount(bins(unlabelled), minlength=BINS), least)
+
+
+def bins(scores: np.ndarray) -> np.ndarray:
+    """The bin of each score: ``BINS`` equal ones between -``REACH`` and ``REACH``, the outer ones open."""
+    return np.clip((scores + REACH) * (BINS / (2 * REACH)), 0, BINS - 1).astype(np.int64)
+
+
+def prior_of(positive: np.ndarray, counts: np.ndarray, least: float = 0.02) -> float:
+    """``class_prior`` with the unlabelled scores given as the number in each bin."""
+    own = np.sort(bins(positive))
+    cuts = np.unique(np.quantile(own, np.linspace(0, 1 - least, 200), method="lower"))
+    above = np.append(np.cumsum(counts[::-1])[::-1], 0)
+    n = above[0]
+    tail_p = 1 - np.searchsorted(own, cuts) / len(own)
+    tail_u = above[cuts] / n
+    slack = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(n) + tail_u / tail_p / np.sqrt(len(own)))
     best = int(np.argmin((tail_u + slack) / tail_p))
     return float(np.clip(tail_u[best] / tail_p[best], 0.01, 0.99))
 
@@ -171,15 +184,19 @@ def _measured(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[Network | None, float]:
-    """The network and the class prior, from at most about ``positives`` rows with quality 1 that are not
-    held out and ``unlabelled`` other rows, whose labels are not looked at."""
+    """The network and the class prior.
+
+    The network is fitted on about ``positives`` labelled rows at most, with quality 1 and not held out, and on about
+    ``unlabelled`` rows at most that are not held out and whose labels are not looked at, both chosen by a hash of
+    doc_id.  The prior comes from the scores of all rows, counted in bins by Spark.
+    """
     ship(docs.sparkSession)
     good = labelled_ids(labels.filter((F.col("quality") == 1) & ~held_out(F.col("doc_id"))), positives)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(good.withColumn("good", F.lit(True))), "doc_id", "left")
-    rows = rows.withColumn("open", by_hash(unlabelled, docs.count(), F.col("text")) & ~held_out(F.col("doc_id")))
-    rows = rows.select(F.coalesce("good", F.lit(False)).alias("good"), "open", "text").filter("good or open")
-    got = _measured(rows, "good", "open").toArrow()
+    rows = rows.withColumn("open", by_hash(unlabelled, docs.count(), _own_id()) & ~held_out(F.col("doc_id")))
+    chosen = rows.select(F.coalesce("good", F.lit(False)).alias("good"), "open", "text").filter("good or open")
+    got = _measured(chosen, "good", "open").toArrow()
     width = len(features(pa.array([""]))[0])
     x = np.array(got.column("x").combine_chunks().flatten(), float).reshape(-1, width)
     is_good, is_open = (np.array(got.column(c).to_pylist(), bool) for c in ("good", "open"))
@@ -189,11 +206,31 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
         return None, 0.5
     p, u = x[is_good], x[is_open]
     half_p, half_u = np.arange(len(p)) % 2 == 0, np.arange(len(u)) % 2 == 0
-    first = fit(p[half_p], u[half_u], None, epochs=20)
-    prior = class_prior(first.forward(p[~half_p])[2], first.forward(u[~half_u])[2]) if (~half_p).any() and (~half_u).any() else 0.5
+    first = fit(p[half_p], u[half_u], None, epochs=20)  # ranks positives that it has not seen, and all rows
+    prior = prior_of(first.forward(p[~half_p])[2], score_counts(rows, first)) if (~half_p).any() else 0.5
     return fit(p, u, prior), prior
 
 
+def _own_id() -> Column:
+    """What a row is chosen by; rows without doc_id are chosen each by itself, whatever texts they share."""
+    return F.coalesce(F.col("doc_id"), -1 - F.monotonically_increasing_id())
+
+
+def score_counts(rows: DataFrame, model: Network) -> np.ndarray:
+    """How many texts have their score in each bin."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BINS, np.int64)
+        for batch in bt.portions(batches, "text"):
+            counts += np.bincount(bins(model.forward(features(batch.column(0)))[2]), minlength=BINS)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["bin", "n"])
+
+    out = np.zeros(BINS, np.int64)
+    for r in rows.select("text").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        out[r.bin] = r.n  # a row per bin
+    return out
+
+
 def scored(docs: DataFrame, model: Network | None) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out and score, the estimated chance that the text is good.
 

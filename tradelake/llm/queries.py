@@ -51,7 +51,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the files the table has to eight shards of equal bytes."""
-    dealt = resharding.reshard(resharding.file_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "_metadata")), 8)
+    docs = resharding.file_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "_metadata"))
+    dealt = resharding.reshard(docs, 8, row=resharding.ROW_IN_FILE)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
     narrow = dealt.select("doc_id", resharding.size_of(F.col("text")).alias("size"), crc, "shard", "block", "base")
     return resharding.slots(narrow, "doc_id", "text_crc32").select(

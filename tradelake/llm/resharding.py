@@ -17,9 +17,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.session import scratch_path
+from tradelake.llm.names import unused
+from tradelake.session import scratch_path, stage
 
 BLOCKS = 16384
+ROW_IN_FILE = "row_in_file"
 BROADCAST_FILES = 20_000  # a name takes some hundred bytes
 
 
@@ -110,13 +112,15 @@ def size_of(text: Column) -> Column:
 
 
 def reshard(docs: DataFrame, shards: int, capacities: list[int] | None = None, blocks: int = BLOCKS,
-            path: str | None = None) -> DataFrame:
+            path: str | None = None, row: str | None = None) -> DataFrame:
     """Deals the rows of ``docs`` into new shards and writes the shards that change.
 
     ``docs`` has doc_id, text and old_shard (numbers from 0; a null counts as 0).  A row's size is
     its text's UTF-8 bytes plus one; a null text has none.  Without ``capacities`` the new
     shards get equal sizes, to within a block.  Rows are dealt into blocks by a hash of
-    doc_id and text, about ``blocks`` in all, and whole blocks stay or move.
+    doc_id and text, about ``blocks`` in all, and whole blocks stay or move.  Rows that are equal in both are told
+    apart by the column ``row``, which has to be the same whenever ``docs`` is read; without it, a table that has
+    such rows is written once with numbered rows.
 
     Returns doc_id, text, old_shard, block, base (rows of the shard before this block) and shard of
     all rows: the written rows as read back from the files below ``path`` (default: the shared folder,
@@ -126,14 +130,18 @@ def reshard(docs: DataFrame, shards: int, capacities: list[int] | None = None, b
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.coalesce(F.col("old_shard").cast("int"), F.lit(0)).alias("old_shard"))
+                       F.coalesce(F.col("old_shard").cast("int"), F.lit(0)).alias("old_shard"),
+                       (F.lit(0) if row is None else F.col(row)).cast("long").alias("row"))
     old = rows.agg(F.max("old_shard")).first()[0]
     if old is None:
         nothing = F.lit(None).cast("long")
-        return rows.select("*", nothing.alias("block"), nothing.alias("base"), F.lit(None).cast("int").alias("shard"))
+        return rows.drop("row").select("*", nothing.alias("block"), nothing.alias("base"), F.lit(None).cast("int").alias("shard"))
+    same = ["doc_id", F.md5(F.coalesce("text", F.lit(""))), F.col("text").isNull(), "old_shard"]
+    if row is None and not rows.groupBy(*same).count().filter("count > 1").isEmpty():
+        rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     per_shard = max(1, math.ceil(blocks / (old + 1)))
-    block = F.col("old_shard").cast("long") * per_shard + F.pmod(F.xxhash64("doc_id", "text"), F.lit(per_shard))
-    rows = rows.withColumn("block", block)
+    block = F.col("old_shard").cast("long") * per_shard + F.pmod(F.xxhash64("doc_id", "text", "row"), F.lit(per_shard))
+    rows = rows.withColumn("block", block).drop("row")
     found = rows.groupBy("block", "old_shard").agg(F.sum(size_of(F.col("text"))).alias("bytes"), F.count("*").alias("rows")).collect()
     own: dict[int, list[tuple[int, int]]] = {}
     for r in found:
@@ -169,12 +177,17 @@ def slots(dealt: DataFrame, *order: str) -> DataFrame:
 
 
 def file_shards(docs: DataFrame) -> DataFrame:
-    """``docs`` with old_shard: the number, in the order of their names, of the file that holds the row."""
+    """``docs`` with old_shard: the number, in the order of their names, of the file that holds the row; and, where
+    the format tells it, with ``row_in_file``, which tells equal rows apart."""
     path = F.col("_metadata.file_path")
     names = sorted(r[0] for r in docs.select(path.alias("path")).distinct().collect())  # names of files only
+    docs = docs.drop("old_shard", ROW_IN_FILE)
+    if "row_index" in docs.select("_metadata").schema[0].dataType.names:
+        docs = docs.withColumn(ROW_IN_FILE, F.col("_metadata.row_index"))
     if not names:
         return docs.withColumn("old_shard", F.lit(0))
-    number = docs.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "path string, old_shard int")
+    own = unused(docs, "path")[0]
+    number = docs.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"{own} string, old_shard int")
     if len(names) <= BROADCAST_FILES:  # Spark cannot know the size; without this it moves the texts to meet the names
         number = F.broadcast(number)
-    return docs.select("*", path.alias("path")).join(number, "path").drop("path")
+    return docs.select("*", path.alias(own)).join(number, own).drop(own)

@@ -23,6 +23,7 @@ from tradelake.session import scratch_path
 
 KEY = ["source", "lang", "version"]
 LOG_SCHEMA = "folder string, batch string"
+CURRENT_SCHEMA = "generation long, folder string"
 _ENCODINGS: dict[bytes, object] = {}
 
 
@@ -79,16 +80,26 @@ class Rollup:
     """Totals below a folder that all executors share.
 
     ``deltas`` holds a folder for each attempt, ``log`` one entry per committed batch, which names the
-    attempt that counts.  One writer at a time may send a given batch.
+    attempt that counts.  One writer at a time may send a given batch.  Compacted totals are a generation of their own
+    in a folder below the path, with ``deltas`` and ``log``; ``current`` names the generations, and the last one counts.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or scratch_path(spark, "rollup")
 
+    def _generation(self) -> tuple[int, str]:
+        """Number and folder of the generation that counts: the path itself until totals are compacted."""
+        try:
+            last = self.spark.read.schema(CURRENT_SCHEMA).parquet(f"{self.path}/current").agg(
+                F.max(F.struct("generation", "folder")).alias("last")).first().last
+        except AnalysisException:
+            last = None
+        return (0, self.path) if last is None else (last.generation, f"{self.path}/{last.folder}")
+
     def _log(self) -> DataFrame:
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
+            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self._generation()[1]}/log")
         except AnalysisException:  # nothing was committed yet
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
@@ -104,28 +115,35 @@ class Rollup:
             return False
         folder = scratch_path(self.spark, "x").rsplit("/", 1)[1]
         delta = changes.groupBy(*KEY).agg(F.sum("sign").cast("long").alias("docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("tokens"))
-        delta.coalesce(1).write.parquet(f"{self.path}/deltas/{folder}")  # one row per key
-        self.spark.createDataFrame([(folder, batch)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        _, at = self._generation()
+        delta.coalesce(1).write.parquet(f"{at}/deltas/{folder}")  # one row per key
+        self.spark.createDataFrame([(folder, batch)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{at}/log")
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, version, docs, tokens) over all committed batches; keys without documents and tokens are left out."""
         schema = "source string, lang string, version string, docs long, tokens long"
+        _, at = self._generation()
         chosen = self._log().groupBy("batch").agg(F.min("folder").alias("folder"))  # had two attempts been logged, one counts
         folders = sorted(r.folder for r in chosen.collect())  # names of batches
         if not folders:
             return self.spark.createDataFrame([], schema)
-        deltas = self.spark.read.schema(schema).parquet(*(f"{self.path}/deltas/{f}" for f in folders))
+        deltas = self.spark.read.schema(schema).parquet(*(f"{at}/deltas/{f}" for f in folders))
         sums = deltas.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.filter("docs != 0 or tokens != 0")
 
     def compact(self) -> None:
-        """Folds all batches so far into one delta.  Their ids stay in the log, so they still count once if sent again."""
-        totals = self.totals()
+        """Folds all batches so far into one delta, for every reader of the path.  Their ids stay in the log, so they
+        still count once if sent again.  Until its entry in ``current`` is written, the new generation counts for nobody."""
+        totals, number = self.totals(), self._generation()[0] + 1
         batches = [r.batch for r in self._log().select("batch").distinct().collect()]
-        other = Rollup(self.spark, f"{self.path}-{scratch_path(self.spark, 'x')[-8:]}")
-        totals.coalesce(1).write.parquet(f"{other.path}/deltas/all")
+        folder = f"generation-{number}-{scratch_path(self.spark, 'x')[-8:]}"
+        other = f"{self.path}/{folder}"
+        totals.coalesce(1).write.parquet(f"{other}/deltas/all")
         entries = [("all" if i == 0 else "none", b) for i, b in enumerate(sorted(batches))]
-        totals.limit(0).coalesce(1).write.parquet(f"{other.path}/deltas/none")
-        self.spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.parquet(f"{other.path}/log")
-        self.path = other.path
+        totals.limit(0).coalesce(1).write.parquet(f"{other}/deltas/none")
+        self.spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.parquet(f"{other}/log")
+        self._make_current(number, folder)
+
+    def _make_current(self, number: int, folder: str) -> None:
+        self.spark.createDataFrame([(number, folder)], CURRENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/current")

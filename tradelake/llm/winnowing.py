@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradelake.llm.names import unused
+
 from tradelake.session import stage
 
 WINDOW = 13
@@ -133,6 +135,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, perce
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, whole and unchanged."""
-    bad = _hits(_worded(docs), items, window).filter(_too_much(percent)).select(F.col("digest").alias("_digest"))
+    own = unused(docs, "_digest")[0]
+    bad = _hits(_worded(docs), items, window).filter(_too_much(percent)).select(F.col("digest").alias(own))
     digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.withColumn("_digest", digest).join(bad, "_digest", "left_anti").select(*docs.columns)
+    return docs.withColumn(own, digest).join(bad, own, "left_anti").select(*docs.columns)
