@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,12 @@ def any_null(cols):
     return cond
 
 
+def loose_number(keys) -> Column:
+    """A number of its own for each row that lacks a part of its key, NULL for all others: grouped by the key and
+    this, such rows stay by themselves and spread over all tasks."""
+    return F.when(any_null(keys), F.monotonically_increasing_id())
+
+
 def _orderable(field: T.StructField) -> bool:
     return not isinstance(field.dataType, (T.MapType, T.VariantType))
 
@@ -38,16 +44,13 @@ def latest(df: DataFrame, keys, order="updated_at", ties=None, null_keys: str =
                 if f.name not in keys and f.name not in order and _orderable(f)]
     ranking = [F.col(c).desc_nulls_last() for c in order]
     ranking += [F.col(c).asc_nulls_last() for c in ties]
-    window = Window.partitionBy(*keys).orderBy(*ranking)
-    best = (
-        df.filter(~any_null(keys))
-        .withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
-    )
     if null_keys == "drop":
-        return best
-    return best.unionByName(df.filter(any_null(keys)))
+        rows, by = df.filter(~any_null(keys)), keys
+    else:
+        rows, by = df.withColumn("_loose", loose_number(keys)), [*keys, "_loose"]
+    window = Window.partitionBy(*by).orderBy(*ranking)
+    best = rows.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1)
+    return best.select(*df.columns)
 
 
 def as_of(df: DataFrame, ts, keys=tuple(TRADE_KEY), order="updated_at", ties=None) -> DataFrame:

@@ -241,6 +241,7 @@ _add("upsert_unguarded", """
     SELECT * EXCLUDE (rn, src, pick) FROM (
         SELECT *, row_number() OVER (PARTITION BY trade_id, event_type ORDER BY src DESC) AS pick
         FROM sides) WHERE pick = 1""", "sides")
+ORACLE["upsert_table_unguarded"] = ORACLE["upsert_unguarded"]
 _add("trades_as_of", """
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY trade_id, event_type

@@ -125,6 +125,16 @@ def upsert_table(spark, sf):
     return spark.read.parquet(path).select(*target.columns)
 
 
+@query
+def upsert_table_unguarded(spark, sf):
+    """The merge in which the source always wins, through a stored table of a declared schema."""
+    target, source = _merge_sides(spark, sf)
+    path = scratch_path(spark, "upsert-unguarded")
+    for rows in (target, source):
+        merge.upsert_table(spark, path, rows, partitions=["status"], guard=None, schema=target.schema)
+    return spark.read.parquet(path).select(*target.columns)
+
+
 @query
 def trades_as_of(spark, sf):
     return dedup.as_of(fixtures.trades_raw(spark, sf), "1999-01-01 00:00:00", ties=TIES)

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from tradelake.functions.parse import parse_events, split_valid
 from tradelake.operators import dedup, enrich, merge, windows
@@ -80,12 +81,13 @@ def write_metrics(df: DataFrame, path: str, checkpoint: str, trigger=None) -> St
 
 def upsert_to_table(df: DataFrame, path: str, checkpoint: str, trigger=None,
                     keys=tuple(TRADE_KEY), partitions=tuple(CURATED_PARTITIONS),
-                    guard: str | None = "updated_at", keyless: str | None = None) -> StreamingQuery:
+                    guard: str | None = "updated_at", keyless: str | None = None,
+                    schema: StructType | None = None) -> StreamingQuery:
     """Merge each micro-batch into the table; the guard makes a repeated batch harmless.
 
     Rows that lack a part of their key cannot be merged.  They go as they are to the folder
     ``keyless`` (default: the table's path and "-keyless"), below one folder per batch, which a
-    repeated batch writes again.
+    repeated batch writes again.  A declared ``schema`` of the table saves each batch the footers of all files.
     """
     aside = keyless or f"{path.rstrip('/')}-keyless"
 
@@ -95,7 +97,7 @@ def upsert_to_table(df: DataFrame, path: str, checkpoint: str, trigger=None,
         if not loose.isEmpty():
             loose.write.mode("overwrite").parquet(f"{aside}/batch={batch_id}")
         newest = dedup.latest(keyed, list(keys), guard, null_keys="drop")
-        merge.upsert_table(batch.sparkSession, path, newest, keys, partitions, guard)
+        merge.upsert_table(batch.sparkSession, path, newest, keys, partitions, guard, schema=schema)
 
     return (df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or TRIGGER)).start())
