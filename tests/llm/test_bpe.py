@@ -10,6 +10,7 @@ import tiktoken
 from brute import SF
 
 from tradelake.llm import bpe, queries
+from tradelake.llm import bytetext as bt
 
 NAMES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
 
@@ -73,3 +74,24 @@ def test_query(spark):
         ids = library.encode_ordinary(r.text or "")
         want.add((r.doc_id, len(ids), brute.sha(np.array(ids, "<u4").tobytes()), brute.sha(r.text or "")))
     assert {tuple(r) for r in queries.op1_byte_bpe(spark, SF).collect()} == want
+
+
+def test_equal_hashes_are_compared(pair, monkeypatch):
+    """Words that a sum modulo a power of two cannot tell apart, and a hash that takes all words of a length for one."""
+    own, library = pair
+    odd = ["".join("ab"[bin(i).count("1") % 2 ^ turn] for i in range(1024)) for turn in (0, 1)]
+    words = [*odd, *odd[::-1], "one two six ten", " ".join(odd)]
+
+    def check():
+        tokens, offsets = own.encode_column(pa.array(words))
+        assert [tokens[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])] == [library.encode_ordinary(w) for w in words]
+
+    check()
+    monkeypatch.setattr(bt.Rolling, "of", lambda self, starts, ends: np.zeros(len(starts), np.uint64))
+    check()
+
+
+def test_ranges_that_differ_from_their_representative():
+    data = np.frombuffer(b"abcabdabcab" + b"x" * 40 + b"x" * 39 + b"y", np.uint8)
+    begin, end = np.array([0, 3, 6, 9, 11, 51]), np.array([3, 6, 9, 11, 51, 91])
+    assert bt.unlike(data, begin, end, np.array([0, 0, 0, 0, 4, 4])).tolist() == [1, 3, 5]

@@ -50,10 +50,11 @@ def trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         .alias("trade_id"),
         event.alias("event_type"),
-        F.concat(F.lit("I"), F.col("l_partkey").cast("string")).alias("instrument_id"),
+        # quantity 7: an instrument nobody knows; quantity 8: a currency without rates
+        F.concat(F.when(q == 7, "X").otherwise("I"), F.col("l_partkey").cast("string")).alias("instrument_id"),
         F.when(q == 1, F.lit(0).cast(MONEY)).when(q == 2, F.lit(None).cast(MONEY))
         .otherwise(F.col("l_extendedprice").cast(MONEY)).alias("notional"),
-        F.when(q == 3, F.lit(None).cast("string")).when(q == 4, "usd")
+        F.when(q == 3, F.lit(None).cast("string")).when(q == 4, "usd").when(q == 8, "CHF")
         .otherwise(_currency_of(F.col("r_name"))).alias("currency"),
         F.to_date("o_orderdate").alias("trade_date"),
         F.to_date("l_shipdate").alias("settlement_date"),
@@ -71,9 +72,8 @@ def trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def instrument_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change rows of the instrument master: first state, a repeat of it, and for every
-    second part a new sector from 1998-06-01.  Parts of size 50 are no instruments, so
-    their trades find none."""
-    part = table(spark, sf_dir, "part").filter(F.col("p_size") != 50)
+    second part a new sector from 1998-06-01."""
+    part = table(spark, sf_dir, "part")
     kind = F.col("p_type")
     asset_class = (F.when(kind == "ECONOMY", "EQUITY").when(kind == "SMALL", "FX")
                    .when(kind == "MEDIUM", "RATES").when(kind == "LARGE", "CREDIT")
@@ -148,11 +148,10 @@ def dim_counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rate per currency and trading day, none for the 13th of a month."""
+    """A rate per currency and trading day."""
     days = (_orders_with_region(spark, sf_dir)
             .select(_currency_of(F.col("r_name")).alias("currency"),
-                    F.to_date("o_orderdate").alias("rate_date")).distinct()
-            .filter(F.dayofmonth("rate_date") != 13))
+                    F.to_date("o_orderdate").alias("rate_date")).distinct())
     cur = F.col("currency")
     base = (F.when(cur == "USD", F.lit("1")).when(cur == "EUR", F.lit("1.1"))
             .when(cur == "JPY", F.lit("0.007")).when(cur == "ZAR", F.lit("0.055"))
@@ -171,15 +170,19 @@ def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def trade_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(value, _record_ts): events as JSON text, some malformed, some lacking fields."""
+    """(value, _record_ts): events as JSON text, some malformed, some lacking fields; of three events one has a
+    known counterparty, one an unknown one and one none."""
     ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     trade_id = F.concat(F.lit("E"), F.col("event_id").cast("string"))
+    user, kind = F.col("user_id").cast("string"), F.col("event_id") % 3
+    lei = F.when(kind == 1, F.concat(F.lit("LEI"), F.lpad(user, 17, "0"))).when(kind == 2, F.concat(F.lit("LEI9"), F.lpad(user, 16, "0")))
     full = F.to_json(F.struct(
         trade_id.alias("tradeId"),
         F.concat(F.lit("I"), F.col("user_id").cast("string")).alias("instrumentId"),
         F.col("value").cast(MONEY).alias("notional"),
         F.lit("USD").alias("currency"),
-        F.unix_millis("ts").alias("eventTimestamp")))
+        F.unix_millis("ts").alias("eventTimestamp"),
+        lei.alias("counterpartyLei")))
     value = (F.when(F.col("event_id") % 97 == 0, F.lit("{bad"))
              .when(F.col("event_id") % 89 == 0, F.to_json(F.struct(trade_id.alias("tradeId"))))
              .otherwise(full))
@@ -205,12 +208,6 @@ def confirmation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_scratch_csv(df: DataFrame, name: str) -> str:
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("header", "true").csv(path)
-    return path
-
-
 def write_scratch_text(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
     df.write.text(path)

@@ -11,11 +11,11 @@ _VIEWS = {
     "trades": """
         SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS trade_id,
                e.event_type,
-               'I' || l_partkey AS instrument_id,
+               CASE WHEN l_quantity = 7 THEN 'X' ELSE 'I' END || l_partkey AS instrument_id,
                CASE WHEN l_quantity = 1 THEN CAST(0 AS DECIMAL(20,4))
                     WHEN l_quantity = 2 THEN NULL
                     ELSE CAST(l_extendedprice AS DECIMAL(20,4)) END AS notional,
-               CASE WHEN l_quantity = 3 THEN NULL WHEN l_quantity = 4 THEN 'usd'
+               CASE WHEN l_quantity = 3 THEN NULL WHEN l_quantity = 4 THEN 'usd' WHEN l_quantity = 8 THEN 'CHF'
                     WHEN r_name = 'AMERICA' THEN 'USD' WHEN r_name = 'EUROPE' THEN 'EUR'
                     WHEN r_name = 'ASIA' THEN 'JPY' WHEN r_name = 'AFRICA' THEN 'ZAR'
                     ELSE 'AED' END AS currency,
@@ -56,8 +56,7 @@ _VIEWS = {
                CASE WHEN v.old OR p_partkey % 2 = 1 THEN TIMESTAMP '1995-01-01'
                     ELSE TIMESTAMP '1998-06-01' END AS valid_from,
                CASE WHEN v.old THEN TIMESTAMP '1998-06-01' END AS valid_to
-        FROM part JOIN (VALUES (true), (false)) v(old) ON NOT v.old OR p_partkey % 2 = 0
-        WHERE p_size <> 50""",
+        FROM part JOIN (VALUES (true), (false)) v(old) ON NOT v.old OR p_partkey % 2 = 0""",
     "traders": """
         SELECT 'T' || s_suppkey AS trader_id, s_name AS trader_name, 'DESK_' || (s_suppkey % 8) AS desk
         FROM supplier""",
@@ -75,7 +74,7 @@ _VIEWS = {
                     * ((1000 + day(trade_date) % 10) * CAST(0.001 AS DECIMAL(4,3)))
                     AS DECIMAL(12,6)) AS usd_rate
         FROM (SELECT DISTINCT currency, trade_date FROM trades
-              WHERE currency IS NOT NULL AND currency <> 'usd') WHERE day(trade_date) <> 13""",
+              WHERE currency NOT IN ('usd', 'CHF'))""",
 }
 
 
@@ -122,6 +121,8 @@ _VIEWS["sides"] = """
               FROM trades WHERE updated_at >= TIMESTAMP '1998-01-01') WHERE rn = 1"""
 _VIEWS["event_text"] = """
         SELECT event_id, ts, epoch_us(ts) // 1000 AS ms, user_id,
+               CASE event_id % 3 WHEN 1 THEN 'LEI' || lpad(CAST(user_id AS VARCHAR), 17, '0')
+                                 WHEN 2 THEN 'LEI9' || lpad(CAST(user_id AS VARCHAR), 16, '0') END AS lei,
                CAST(value AS DECIMAL(20,4)) AS notional,
                CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 89 = 0 THEN 'short'
                     ELSE 'full' END AS kind
@@ -131,12 +132,12 @@ _VIEWS["event_json"] = """
                   WHEN 'short' THEN '{"tradeId":"E' || event_id || '"}'
                   ELSE '{"tradeId":"E' || event_id || '","instrumentId":"I' || user_id
                        || '","notional":' || notional || ',"currency":"USD","eventTimestamp":'
-                       || ms || '}' END AS raw,
+                       || ms || coalesce(',"counterpartyLei":"' || lei || '"', '') || '}' END AS raw,
                CASE WHEN kind = 'full' THEN make_timestamp(ms * 1000) ELSE ts END AS event_ts
         FROM event_text"""
 _VIEWS["event_ok"] = """
         SELECT 'E' || event_id AS trade_id, 'I' || user_id AS instrument_id, notional,
-               'USD' AS currency, event_ts, raw, ms FROM event_json WHERE kind = 'full'"""
+               'USD' AS currency, event_ts, raw, ms, lei FROM event_json WHERE kind = 'full'"""
 _VIEWS["win"] = """
         SELECT time_bucket(INTERVAL 5 MINUTE, event_ts, TIMESTAMP '1970-01-01') AS window_start,
                time_bucket(INTERVAL 5 MINUTE, event_ts, TIMESTAMP '1970-01-01')
@@ -454,9 +455,10 @@ _add("notional_5m", "SELECT * FROM win", "win")
 _add("enrich_stream_batchwise", """
     SELECT e.trade_id, e.instrument_id,
            coalesce(i.instrument_name, 'INSTRUMENT_' || e.instrument_id) AS instrument_name,
-           i.asset_class, CAST(NULL AS VARCHAR) AS counterparty_name, e.notional
-    FROM event_ok e LEFT JOIN instruments i ON e.instrument_id = i.instrument_id AND i.is_active""",
-     "event_ok", "instruments")
+           i.asset_class, c.counterparty_name, e.notional
+    FROM event_ok e LEFT JOIN instruments i ON e.instrument_id = i.instrument_id AND i.is_active
+    LEFT JOIN counterparties c ON e.lei = c.lei_code""",
+     "event_ok", "instruments", "counterparties")
 _add("keyed_envelope", """
     SELECT instrument_id AS key,
            '{"trade_id":"' || trade_id || '","instrument_id":"' || instrument_id
