@@ -69,6 +69,24 @@ def test_daily_run_again_changes_nothing(spark, lake):
     assert spark.read.parquet(lake["quarantine"]).count() == 1
 
 
+def test_the_whole_run_and_its_gates(spark, lake):
+    land(trades(spark, trade("a", at=ts(1)), trade("a", at=ts(2)), trade("b"), trade("c", currency=None)), lake)
+    dim = spark.read.parquet(lake["instruments"]).withColumns({"instrument_sk": F.col("instrument_id"), "currency": F.lit("USD")})
+    lake["instruments"] += "-2"
+    dim.write.parquet(lake["instruments"])
+
+    def run(now, **more):
+        got = jobs.run_pipeline(spark, lake, DAY, "r1", now=now, **more).collect()
+        return {(r.step, r.test): r.status for r in got}
+
+    got = run(ts(2) + dt.timedelta(hours=13))
+    assert got["gate", "backlog"] == "pass" and got["curated", "freshness"] == "warn" and got["instruments", "freshness"] == "error"
+    assert {step for step, _ in got} == {"gate", "fct_trades", "dim_instruments", "daily_pnl", "curated", "instruments"}
+    assert [k for k, v in got.items() if v == "fail"] == []
+    assert run(ts(2) + dt.timedelta(hours=1))["curated", "freshness"] == "pass"
+    assert run(ts(2), backlog_limit=-1) == {("gate", "backlog"): "fail"}
+
+
 def test_warehouse_run_is_incremental(spark, lake):
     land(trades(spark, trade("a", at=ts(1)), trade("b", at=ts(2))), lake)
     jobs.run_daily(spark, lake, DAY)

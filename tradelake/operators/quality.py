@@ -219,7 +219,7 @@ def freshness(df: DataFrame, loaded_at: str, now, warn_hours: int, error_hours:
 
     A limit is broken only when the age exceeds it; an empty table is an error.
     """
-    at = F.lit(now).cast("timestamp")
+    at = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
     newest = F.col("max_loaded_at")
     status = (
         F.when(newest.isNull(), "error")

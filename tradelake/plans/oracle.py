@@ -213,6 +213,7 @@ def _add(name: str, sql: str, *views: str) -> None:
 _add("read_raw_by_date",
      "SELECT * EXCLUDE (tie_part, tie_supp) FROM trades WHERE trade_date = DATE '1998-06-01'",
      "trades")
+ORACLE["read_raw_partition"] = ORACLE["read_raw_by_date"]
 _add("read_dim_columns", "SELECT p_partkey, p_name, p_type FROM part")
 _add("dedup_latest", "SELECT * FROM newest", "newest")
 _add("validate_valid", "SELECT * FROM valid", "valid")
@@ -428,10 +429,39 @@ _add("dq_fact_schema_constraints", _suite("fact", {
         ("counterparty_lei", 20), ("counterparty_name", 200), ("credit_rating", 10),
         ("status", 50))},
 }, _FACT_UNIQUE), "fact")
+_DIM_TABLES = {
+    "traders": ("""(SELECT md5('T' || s_suppkey) AS trader_sk, 'T' || s_suppkey AS trader_id, s_name AS trader_name,
+                    'DESK_' || (s_suppkey % 8) AS desk, r_name AS region, CAST(NULL AS VARCHAR) AS cost_centre,
+                    TIMESTAMP '1995-01-01' AS valid_from FROM supplier JOIN places ON s_nationkey = n_nationkey)""",
+                ["trader_sk", "trader_id", "trader_name", "valid_from"],
+                {"trader_id": 50, "trader_name": 200, "desk": 100, "region": 50, "cost_centre": 50}, ["trader_sk"]),
+    "books": ("""(SELECT md5('B' || n_nationkey) AS book_sk, 'B' || n_nationkey AS book_id, n_name AS book_name,
+                  r_name AS region, 'LE_' || r_regionkey AS legal_entity FROM places)""",
+              ["book_sk", "book_id"], {"book_id": 50, "book_name": 200, "region": 50, "legal_entity": 100}, ["book_sk"]),
+    "counterparties": ("""(SELECT md5(lei_code) AS counterparty_sk, *, '' AS country FROM counterparties)""",
+                       ["counterparty_sk", "lei_code"],
+                       {"lei_code": 20, "counterparty_name": 200, "credit_rating": 10, "country": 50}, ["counterparty_sk"]),
+    "fx_rates": ("fx", ["currency", "rate_date"], {"currency": 3}, ["currency", "rate_date"]),
+}
+_add("dq_dim_schema_constraints", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, * FROM (" + _suite(table, {
+        **{f"not_null_{c}": f"{c} IS NULL" for c in needed},
+        **{f"max_length_{c}": f"length({c}) > {n}" for c, n in longest.items()},
+    }, {"unique_" + "_".join(pk): (", ".join(pk), "")}) + ")"
+    for name, (table, needed, longest, pk) in _DIM_TABLES.items()), "places", "counterparties", "fx")
 _add("source_freshness", """
     SELECT source, (SELECT max(updated_at) FROM trades) AS max_loaded_at, status
     FROM (VALUES ('a_equal_warn', 'pass'), ('b_past_warn', 'warn'), ('c_past_error', 'error'),
                  ('d_fresh', 'pass')) v(source, status)""", "trades")
+_add("failed_publishes", """
+    SELECT CASE WHEN kind = 'short' THEN 'E' || event_id END AS key,
+           CASE WHEN kind = 'short' THEN '{"trade_id":"E' || event_id || '"' ELSE '{"trade_id":null' END
+           || ',"instrument_id":null,"notional":null}' AS value, 0 AS headers
+    FROM event_json WHERE kind <> 'full'""", "event_json")
+_add("table_statistics", """
+    SELECT 'rows' AS about, count(*) AS rows, CAST(NULL AS BIGINT) AS nulls FROM part
+    UNION ALL SELECT 'p_partkey', NULL, 0
+    UNION ALL SELECT 'p_size', NULL, count(*) FILTER (p_size <= 10) FROM part""")
 _add("publishable_events", """
     SELECT CASE WHEN kind = 'full' THEN 'publish' ELSE 'dead_letter' END AS route, count(*) AS rows
     FROM event_json GROUP BY 1""", "event_json")
@@ -604,6 +634,11 @@ _add("reconcile_confirmations", """
                                CASE WHEN currency_off THEN 'currency' END) END AS breaks,
            our_notional, their_notional, our_currency, their_currency
     FROM met""", "theirs", "ours")
+_add("confirmation_ledger", """
+    SELECT source_file_id AS sender, 'RECEIVED' AS state, 1::BIGINT AS entries, NULL::BIGINT AS processed, NULL::BIGINT AS failed
+    FROM confirms GROUP BY 1
+    UNION ALL
+    SELECT source_file_id, 'COMPLETED', 1, count(*) FILTER (error IS NULL), count(error) FROM confirms GROUP BY 1""", "confirms")
 _add("confirmation_messages", """
     SELECT trade_id AS key, our_ref, currency,
            'sourceSystem=FILE_GATEWAY;senderDuns=' || source_file_id || ';sourceFileId='

@@ -10,8 +10,17 @@ from pyspark.sql import functions as F
 from tradelake import fixtures, sinks, streaming
 from tradelake.functions import envelope, keys, parse
 from tradelake.operators import dedup, dims, enrich, maintenance, merge, quality, search, windows
-from tradelake.plans import marts
-from tradelake.schemas import DIM_INSTRUMENTS, FCT_TRADES, MONEY, TRADE_KEY
+from tradelake.plans import jobs, marts
+from tradelake.schemas import (
+    DIM_BOOKS,
+    DIM_COUNTERPARTIES,
+    DIM_FX_RATES,
+    DIM_INSTRUMENTS,
+    DIM_TRADERS,
+    FCT_TRADES,
+    MONEY,
+    TRADE_KEY,
+)
 from tradelake.session import scratch_path, stage
 from tradelake.sources import confirmations, lake
 
@@ -57,6 +66,14 @@ def read_raw_by_date(spark, sf):
     return lake.for_date(fixtures.trades_raw(spark, sf), "1998-06-01").drop(*TIES)
 
 
+@query
+def read_raw_partition(spark, sf):
+    """One date of a table partitioned by it."""
+    path = scratch_path(spark, "raw")
+    fixtures.trades_raw(spark, sf).drop(*TIES).repartition("trade_date").write.partitionBy("trade_date").parquet(path)
+    return lake.read_raw(spark, path, "1998-06-01")
+
+
 @query
 def read_dim_columns(spark, sf):
     return lake.read_dim(spark, f"{sf}/part.parquet", ["p_partkey", "p_name", "p_type"])
@@ -324,7 +341,23 @@ def bucketed_layout(spark, sf):
     name = f"fct_{uuid.uuid4().hex}"
     sinks.write_bucketed(_fact(spark, sf), name, "trade_id", 8, path=scratch_path(spark, name))
     maintenance.analyze(spark, name)
-    return spark.table(name).groupBy("trade_id").agg(F.count(F.lit(1)).alias("events"))
+    out = stage(spark.table(name).groupBy("trade_id").agg(F.count(F.lit(1)).alias("events")), "bucketed")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query
+def table_statistics(spark, sf):
+    """What the catalog knows of a table after its statistics were computed."""
+    name = f"parts_{uuid.uuid4().hex}"
+    parts = fixtures.table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") > 10, F.col("p_size")).alias("p_size"))
+    sinks.write_bucketed(parts, name, "p_partkey", 4, path=scratch_path(spark, name))
+    maintenance.analyze(spark, name)
+    known = maintenance.statistics(spark, name, ["p_partkey", "p_size"])
+    out = known.select(F.coalesce("column", F.lit("rows")).alias("about"),
+                       F.when(F.col("column").isNull(), F.col("distinct")).alias("rows"), "nulls")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 @query
@@ -386,6 +419,20 @@ def dq_fact_schema_constraints(spark, sf):
     return quality.run_suite(_fact(spark, sf), checks)
 
 
+@query
+def dq_dim_schema_constraints(spark, sf):
+    """Constraints of the other dimensions and of the rates."""
+    fx = fixtures.dim_fx_rates(spark, sf)
+    suites = {
+        "traders": (fixtures.dim_traders(spark, sf), quality.checks_from_schema(DIM_TRADERS, "trader_sk")),
+        "books": (fixtures.dim_books(spark, sf), quality.checks_from_schema(DIM_BOOKS, "book_sk")),
+        "counterparties": (fixtures.dim_counterparties(spark, sf), quality.checks_from_schema(DIM_COUNTERPARTIES, "counterparty_sk")),
+        "fx_rates": (fx, quality.checks_from_schema(DIM_FX_RATES, ["currency", "rate_date"])),
+    }
+    return lake.union_evolving(*[quality.run_suite(df, checks).select(F.lit(name).alias("table_name"), "test", "failures", "status")
+                                 for name, (df, checks) in suites.items()])
+
+
 @query
 def source_freshness(spark, sf):
     """The same newest row against four moments."""
@@ -401,6 +448,14 @@ def source_freshness(spark, sf):
     return lake.union_evolving(*frames)
 
 
+@query
+def failed_publishes(spark, sf):
+    """Messages of events that lack a mandatory key: keyed by trade, without headers."""
+    dead = envelope.split_publishable(_events(spark, sf))[1].select("trade_id", "instrument_id", "notional")
+    out = envelope.dead_letter_messages(dead)
+    return out.select("key", "value", F.size("headers").alias("headers"))
+
+
 @query
 def publishable_events(spark, sf):
     """Events that may be published and dead letters, counted by mandatory keys."""
@@ -747,6 +802,19 @@ def checksums(spark, sf):
         wrong.select(sender, F.col("reason").alias("outcome"))).distinct()
 
 
+@query
+def confirmation_ledger(spark, sf):
+    """The ledger after two runs over the same files: the second finds them all done."""
+    env = stage(_envelopes(spark, _csv_folder(spark, sf)), "envelopes")
+    ledger = scratch_path(spark, "ledger")
+    for _ in range(2):
+        jobs.run_confirmations(spark, env, ledger, scratch_path(spark, "messages"), "GATEWAY", at="2024-01-02 00:00:00").collect()
+    rows = spark.read.parquet(ledger)
+    once = rows.groupBy("file_id", "state").agg(F.count(F.lit(1)).alias("entries"), F.sum("processed").alias("processed"), F.sum("failed").alias("failed"))
+    return once.groupBy(F.substring_index("file_id", "-", 1).alias("sender"), "state").agg(
+        F.max("entries").alias("entries"), F.sum("processed").alias("processed"), F.sum("failed").alias("failed"))
+
+
 @query
 def file_outcomes(spark, sf):
     env = _intake(spark, sf)

@@ -25,6 +25,7 @@ QUARANTINE_REASON = "FAILED_DQ_CHECK"
 NULL_KEY_REASON = "NULL_MERGE_KEY"
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 FACT_DATE_FLOOR = "2020-01-01"
+CURATED_HOURS, REFERENCE_HOURS = (12, 24), (48, 96)  # age at which a table's newest row is a warning, an error
 FILE_FORMATS = ["FPML", "MT518", "CSV"]
 FPML_LEI_SCHEME = "http://www.gleif.org/data/schema/leiData"
 FPML_TRADE = "trade"
