@@ -111,6 +111,21 @@ def test_as_of(spark, ranges, n_facts, n_versions):
     assert sorted(map(tuple, enrich.asof_dim(df, dim, "k", "t", ["name"], dim_key="id", small=True).collect()), key=str) == want
 
 
+@pytest.mark.parametrize("n, m", [(300, 40), (0, 20), (50, 0), (40, 400)])
+def test_full_match(spark, ranges, n, m):
+    r = random.Random(n + m)
+    keys = ["hot"] * 200 + [f"k{i}" for i in range(60)] + [None]
+    facts = [(r.choice(keys), r.randrange(5)) for _ in range(n)]
+    known = sorted({(r.choice(["hot", *(f"k{i}" for i in range(500))]), i) for i in range(m)})
+    known = [(k, i) for j, (k, i) in enumerate(known) if j == 0 or known[j - 1][0] != k] + [(None, -1)] * (m > 0)
+    out = ordered.full_match(spark.createDataFrame(facts, "k string, a int"), "k", spark.createDataFrame(known, "id string, b int"), "id")
+    by_key = {k: b for k, b in known if k is not None}
+    want = [((k, a), (k, by_key[k]) if k in by_key else None) for k, a in facts]
+    want += [(None, (k, b)) for k, b in known if k is None or k not in {f for f, _ in facts}]
+    got = [(x.row and tuple(x.row), x.found and tuple(x.found)) for x in out.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def task_rows(df):
     return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
 

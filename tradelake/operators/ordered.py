@@ -254,3 +254,70 @@ def with_last(df: DataFrame, key: str, ts: Column, known: DataFrame, known_key:
     filled = found.filter("side = 1").join(F.broadcast(carry), "range", "left")
     version = F.when(F.col("open"), F.col("carried")).otherwise(F.col("version"))
     return filled.select("row.*", version.alias(out))
+
+
+# --- All rows of two sides -----------------------------------------------------------------
+
+def full_match(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
+    """(row, found): a full outer match on a key that no two rows of ``known`` share.
+
+    Each row of ``df`` with the row of ``known`` of its key or null, and each other row of ``known`` with a null row.
+    Rows without a key find nothing.  Both sides are read into one shuffle, and a key with a third of all rows is spread.
+    """
+    rows = df.select(F.col(key).alias("key"), F.lit(1).alias("side"), F.xxhash64(*df.columns).alias("tie"),
+                     F.struct(*df.columns).alias("row"), F.lit(None).cast(known.schema).alias("found")).unionByName(
+        known.select(F.col(known_key).alias("key"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("tie"),
+                     F.lit(None).cast(df.schema).alias("row"), F.struct(*known.columns).alias("found")))
+    whole = StructType([*rows.drop("tie").schema.fields, *_typed({"range": "integer", "open": "boolean", "last": "boolean"}).fields])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        number, held, used, first_key = TaskContext.get().partitionId(), None, False, None
+
+        def built(table: pa.Table, found: pa.Array, opened: np.ndarray, last: bool) -> pa.RecordBatch:
+            n = table.num_rows
+            return pa.RecordBatch.from_arrays([
+                *(_column(table, c) for c in ("key", "side", "row")), found, pa.array(np.full(n, number, np.int32)),
+                pa.array(opened), pa.array(np.full(n, last))], whole.fieldNames())
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if first_key is None:
+                first_key = _column(table, "key").slice(0, 1)
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            keys, side, at = _column(table, "key"), np.asarray(_column(table, "side")), np.arange(table.num_rows)
+            told = (side == 0) & ~np.asarray(keys.is_null())
+            starts = _starts(keys)
+            begins = np.maximum.accumulate(np.where(starts, at, 0))
+            last = np.maximum.accumulate(np.where(told, at, -1))
+            none = (last < begins) | np.asarray(keys.is_null())
+            met = np.zeros(table.num_rows, bool)  # rows of known with a row of the other side behind them
+            met[:-1] = told[:-1] & (side[1:] == 1) & ~starts[1:]
+            if held is not None:
+                met[0] |= used
+            facts = np.flatnonzero(side == 1)
+            if len(facts):
+                found = _column(table, "found").take(pa.array(np.where(none, 0, last), mask=none))
+                opened = none & (begins == 0) & bool(same(keys.slice(0, 1), first_key)[0]) & ~np.asarray(keys.is_null())
+                yield built(table.take(pa.array(facts)), found.take(pa.array(facts)), opened[facts], False)
+            lone = np.flatnonzero((side == 0) & ~met & (at != last[-1]))
+            if len(lone):
+                rest = table.take(pa.array(lone))
+                yield built(rest, _column(rest, "found"), np.ones(len(lone), bool), False)
+            if last[-1] >= 0:
+                held, used = table.slice(int(last[-1]), 1), bool(met[last[-1]])
+        if held is not None:
+            yield built(held, _column(held, "found"), np.array([not used]), True)
+
+    result = stage(in_ranges(rows, ["key", "side", "tie"]).mapInArrow(scan, whole), "match")
+    # only the last row of known in a range can belong to rows at the beginning of ranges behind it
+    ends = result.filter("side = 0 AND last").select(F.col("key").alias("k"), F.col("range").alias("r"), F.col("found").alias("f"))
+    opened = result.filter("side = 1 AND open").select("key", "range").distinct()
+    carry = opened.join(ends, (F.col("key") == F.col("k")) & (F.col("r") < F.col("range"))).select("range", F.col("f").alias("carried"))
+    met = result.filter("side = 1").join(F.broadcast(carry), "range", "left").select(
+        "row", F.when(F.col("open"), F.col("carried")).otherwise(F.col("found")).alias("found"))
+    lone = result.filter("side = 0 AND open").join(F.broadcast(opened.select("key").distinct()), "key", "left_anti").select("row", "found")
+    return met.unionByName(lone)

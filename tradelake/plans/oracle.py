@@ -165,7 +165,8 @@ _VIEWS["theirs"] = """
                CASE day(CAST(settlement_date AS DATE)) WHEN 3 THEN CAST(notional + 1 AS DECIMAL(20,4))
                     ELSE notional END AS their_notional,
                CASE day(CAST(settlement_date AS DATE)) WHEN 4 THEN 'CHF'
-                    ELSE nullif(currency, '') END AS their_currency
+                    ELSE nullif(currency, '') END AS their_currency,
+               CASE day(CAST(settlement_date AS DATE)) WHEN 5 THEN 1.6 ELSE 1.5 END::DECIMAL(20,4) AS their_price
         FROM confirms"""
 _VIEWS["ours"] = """
         SELECT trade_id AS our_ref, notional AS our_notional, currency AS our_currency,
@@ -622,17 +623,17 @@ _add("reconcile_confirmations", """
     , met AS (
         SELECT coalesce(t.our_ref, o.our_ref) AS our_ref, t.their_ref, o.our_ref IS NOT NULL AS found,
                t.their_ref IS NOT NULL AS confirmed, our_notional, their_notional,
-               our_currency, their_currency,
+               our_currency, their_currency, CASE WHEN o.our_ref IS NOT NULL THEN 1.5::DECIMAL(20,4) END AS our_price, their_price,
                our_notional IS DISTINCT FROM their_notional AS amount_off,
-               our_currency IS DISTINCT FROM their_currency AS currency_off
+               our_currency IS DISTINCT FROM their_currency AS currency_off, their_price <> 1.5 AS price_off
         FROM theirs t FULL JOIN ours o ON t.our_ref = o.our_ref)
     SELECT our_ref, their_ref,
            CASE WHEN NOT found THEN 'MISSING_OURS' WHEN NOT confirmed THEN 'MISSING_THEIRS'
-                WHEN amount_off OR currency_off THEN 'BREAK' ELSE 'MATCHED' END AS status,
+                WHEN amount_off OR currency_off OR price_off THEN 'BREAK' ELSE 'MATCHED' END AS status,
            CASE WHEN NOT found OR NOT confirmed THEN ''
-                ELSE concat_ws(',', CASE WHEN amount_off THEN 'notional' END,
-                               CASE WHEN currency_off THEN 'currency' END) END AS breaks,
-           our_notional, their_notional, our_currency, their_currency
+                ELSE concat_ws(',', CASE WHEN amount_off THEN 'notional' END, CASE WHEN currency_off THEN 'currency' END,
+                               CASE WHEN price_off THEN 'price' END) END AS breaks,
+           our_notional, their_notional, our_currency, their_currency, our_price, their_price
     FROM met""", "theirs", "ours")
 _add("confirmation_ledger", """
     SELECT source_file_id AS sender, 'RECEIVED' AS state, 1::BIGINT AS entries, NULL::BIGINT AS processed, NULL::BIGINT AS failed

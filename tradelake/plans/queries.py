@@ -827,7 +827,7 @@ def file_outcomes(spark, sf):
 
 
 def _confirms(spark, sf):
-    """Confirmations with breaks: by due date the amount is off or the currency another."""
+    """Confirmations with breaks: by due date the amount is off, the currency another, or the price."""
     rows = fixtures.confirmation_rows(spark, sf)
     settles = F.dayofmonth(F.col("SETTLEMENT_DATE").cast("date"))
     amount = F.col("NOTIONAL").try_cast(MONEY)
@@ -836,12 +836,13 @@ def _confirms(spark, sf):
         F.when(settles == 1, "").when(settles == 2, F.concat(F.lit("X"), "OUR_REF"))
         .otherwise(F.col("OUR_REF")).alias("our_ref"),
         F.when(settles == 3, (amount + 1).cast(MONEY)).otherwise(amount).alias("notional"),
-        F.when(settles == 4, "CHF").otherwise(F.nullif("CURRENCY", F.lit(""))).alias("currency"))
+        F.when(settles == 4, "CHF").otherwise(F.nullif("CURRENCY", F.lit(""))).alias("currency"),
+        F.when(settles == 5, F.lit("1.6")).otherwise(F.col("PRICE")).try_cast(MONEY).alias("price"))
 
 
 @query
 def reconcile_confirmations(spark, sf):
-    trades = _newest(spark, sf).drop(*TIES)
+    trades = _newest(spark, sf).drop(*TIES).withColumn("price", F.lit("1.5").cast(MONEY))
     return confirmations.reconcile(_confirms(spark, sf), trades)
 
 

@@ -16,6 +16,7 @@ from tradelake.functions.arrays import non_null
 from tradelake.functions.envelope import to_keyed
 from tradelake.operators.dedup import latest
 from tradelake.operators.lookup import lookup
+from tradelake.operators.ordered import full_match
 from tradelake.schemas import CONFIRMATION, CONFIRMATION_CSV, MONEY
 from tradelake.sources.chunks import plain_path
 from tradelake.sources.csv_files import read_csv
@@ -225,8 +226,9 @@ def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000")
 
     ``confirms`` needs trade_id, our_ref, notional and currency (and price where both
     sides have one).  Our side is first cut to the newest state per trade, so a
-    reference meets one row however often it is confirmed.  Confirmations without a
-    reference, and trades without id, skip the join.
+    reference meets one row however often it is confirmed.  Both sides are read once, into one
+    shuffle, in which a reference that very many confirmations share is spread.  Confirmations without a
+    reference meet nothing; trades without id are left out.
     """
     with_price = "price" in confirms.columns and "price" in trades.columns
     compared = ["notional", "currency", *(["price"] if with_price else [])]
@@ -235,8 +237,6 @@ def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000")
     theirs = confirms.select(F.nullif("our_ref", F.lit("")).alias("our_ref"),
                              F.col("trade_id").alias("their_ref"),
                              *[F.col(c).alias(f"their_{c}") for c in compared])
-    keyed = theirs.filter(F.col("our_ref").isNotNull())
-    nowhere = theirs.filter(F.col("our_ref").isNull())
 
     def differs(c):
         same = F.col(f"our_{c}").eqNullSafe(F.col(f"their_{c}"))
@@ -246,16 +246,13 @@ def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000")
         return ~(same | F.coalesce(near, F.lit(False)))
 
     breaks = non_null([F.when(differs(c), F.lit(c)) for c in compared])
-    found = F.col("_found").isNotNull()
-    met = keyed.join(ours.withColumn("_found", F.lit(True)), "our_ref", "left")
-    met = met.withColumns({
-        "breaks": F.when(found, F.array_join(breaks, ",")).otherwise(F.lit("")),
-    }).withColumn("status", F.when(~found, "MISSING_OURS")
-                  .when(F.col("breaks") == "", "MATCHED").otherwise("BREAK")).drop("_found")
-    loose = nowhere.withColumns({"status": F.lit("MISSING_OURS"), "breaks": F.lit("")})
-    unconfirmed = ours.join(keyed.select("our_ref").distinct(), "our_ref", "left_anti") \
-        .withColumns({"status": F.lit("MISSING_THEIRS"), "breaks": F.lit("")})
-    columns = ["our_ref", "their_ref", "status", "breaks",
-               *[f"{side}_{c}" for c in compared for side in ("our", "their")]]
-    return (met.unionByName(loose, allowMissingColumns=True)
-            .unionByName(unconfirmed, allowMissingColumns=True).select(*columns))
+    met = full_match(theirs, "our_ref", ours, "our_ref").select(
+        F.col("found").isNotNull().alias("_ours"), F.col("row").isNotNull().alias("_theirs"),
+        F.coalesce("row.our_ref", "found.our_ref").alias("our_ref"), "row.their_ref",
+        *[F.col(f"{side}.{who}_{c}") for c in compared for side, who in (("found", "our"), ("row", "their"))])
+    both = F.col("_ours") & F.col("_theirs")
+    met = met.withColumn("breaks", F.when(both, F.array_join(breaks, ",")).otherwise(F.lit("")))
+    status = (F.when(~F.col("_ours"), "MISSING_OURS").when(~F.col("_theirs"), "MISSING_THEIRS")
+              .when(F.col("breaks") == "", "MATCHED").otherwise("BREAK"))
+    return met.select("our_ref", "their_ref", status.alias("status"), "breaks",
+                      *[f"{side}_{c}" for c in compared for side in ("our", "their")])
