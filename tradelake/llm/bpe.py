@@ -27,7 +27,6 @@ from tradelake.llm import bytetext as bt
 from tradelake.llm.ship import ship
 
 LEAF = 8
-SHORT = 32
 REMEMBERED = 1 << 19
 LETTER, NUMBER, SPACE, OTHER = range(4)
 # White space as the pattern's \s understands it
@@ -84,22 +83,6 @@ def match_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def unlike(data: np.ndarray, begin: np.ndarray, end: np.ndarray, chief: np.ndarray) -> np.ndarray:
-    """The ranges whose bytes differ from those of their representative, which is another range."""
-    size = end - begin
-    differ = size != size[chief]
-    same = np.flatnonzero(~differ & (chief != np.arange(len(chief))))
-    first = begin[chief[same]]
-    # short ranges byte by byte over all of them, and what is longer as a whole
-    for k in range(min(int(size[same].max(initial=0)), SHORT)):
-        same, first = (same[size[same] > k], first[size[same] > k]) if k else (same, first)
-        differ[same] |= data[begin[same] + k] != data[first + k]
-    for i in same[size[same] > SHORT].tolist():
-        at, to = int(begin[i]), int(begin[chief[i]])
-        differ[i] |= not np.array_equal(data[at:at + int(size[i])], data[to:to + int(size[i])])
-    return np.flatnonzero(differ)
-
-
 class Vocabulary:
     """The ranks of a file of lines "base64 rank", and the tree reduction over them."""
 
@@ -182,7 +165,7 @@ class Vocabulary:
         starts = match_starts(points, np.searchsorted(lead, offsets))
         begin = lead[starts]
         end = np.append(begin[1:], len(data))
-        hashes = bt.mix(bt.Prefix(data).of(begin, end) ^ bt.mix((end - begin).astype(bt.U64)))
+        hashes = bt.mix(bt.Rolling(data).of(begin, end) ^ bt.mix((end - begin).astype(bt.U64)))
         order = np.argsort(hashes)
         ordered = hashes[order]
         new = np.ones(len(order), bool)
@@ -191,7 +174,7 @@ class Vocabulary:
         number[order] = np.cumsum(new) - 1
         chief = order[new]
         # the hash only proposes: a match that differs from its representative is encoded by itself
-        other = np.setdiff1d(unlike(data, begin, end, chief[number]), chief)
+        other = np.setdiff1d(bt.unlike(data, begin, end, chief[number]), chief)
         number[other] = len(chief) + np.arange(len(other))
         chief = np.concatenate((chief, other))
         raw = data.tobytes()

@@ -70,9 +70,10 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 PRIME = (1 << 61) - 1
-BLOCK = 1 << 14
-LONG_RANGE = 1 << 22  # of so many bytes the sums below cannot overflow
+SEGMENT, LONG_RANGE = 1 << 16, 1 << 14
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
+_WRAPPED: dict[bool, np.ndarray] = {}
+SHORT = 32
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -95,48 +96,86 @@ def powers(n: int, base: int = BASE, inverse: bool = False) -> np.ndarray:
         have = np.ones(1, U64) if have is None else have
         while len(have) < max(n, 1 << 16):
             have = np.concatenate((have, times(have, U64(pow(step, len(have), PRIME)))))
-        if n <= 1 << 23:
-            _POWERS[base, inverse] = have
+        _POWERS[base, inverse] = have
     return have[:n]
 
 
-class Prefix:
-    """Rabin-Karp prefix sums of a byte array modulo the prime 2 ** 61 - 1: the hash of any range in constant time.
+def wrapped_powers(n: int, inverse: bool = False) -> np.ndarray:
+    """BASE ** 0 .. BASE ** (n - 1) modulo 2 ** 64; the inverse powers if asked for."""
+    have = _WRAPPED.get(inverse)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 16), pow(BASE, -1, 1 << 64) if inverse else BASE, U64)
+        have[0] = 1
+        have = np.cumprod(have, dtype=U64)
+        if n <= 1 << 23:
+            _WRAPPED[inverse] = have
+    return have[:n]
 
-    Modulo a power of two there are texts that collide for every base; modulo a prime two given ranges
-    of n bytes collide for n of all bases at most.
-    """
 
-    def __init__(self, data: np.ndarray, base: int = BASE):
-        self.data, self.n, self.base = data, len(data), base
-        self.low, self.high = np.zeros(self.n + 1, U64), np.zeros(self.n + 1, U64)
-        power, value = powers(self.n, base), data.astype(U64) + U64(1)
-        np.cumsum(value * (power & U64(0xFFFFFFFF)), out=self.low[1:])
-        np.cumsum(value * (power >> U64(32)), out=self.high[1:])
-
-    @staticmethod
-    def _range(low: np.ndarray, high: np.ndarray, shift: np.ndarray) -> np.ndarray:
-        if len(low) > BLOCK:  # what fits a processor's cache is worked on several times as fast
-            out = np.empty(len(low), U64)
-            for i in range(0, len(low), BLOCK):
-                out[i:i + BLOCK] = Prefix._range(low[i:i + BLOCK], high[i:i + BLOCK], shift[i:i + BLOCK])
-            return out
-        high = (high >> U64(29)) + ((high & U64((1 << 29) - 1)) << U64(32))
-        return times(_reduced(_reduced(low) + _reduced(high)), shift)
+class Rolling:
+    """Prefix sums modulo 2 ** 64, cheap enough for a hash at every byte.  There are texts that collide, so it may only
+    propose: places to cut, keys to bring together what is compared later."""
+
+    def __init__(self, data: np.ndarray):
+        self.n = len(data)
+        self.sums = np.zeros(self.n + 1, U64)
+        np.cumsum((data.astype(U64) + U64(1)) * wrapped_powers(self.n), out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Unmixed hashes of the ranges [start, end); equal bytes give equal hashes."""
-        out = self._range(self.low[ends] - self.low[starts], self.high[ends] - self.high[starts],
-                          powers(self.n + 1, self.base, True)[starts])
-        for i in np.flatnonzero(np.asarray(ends) - np.asarray(starts) > LONG_RANGE):
-            digest = blake2b(self.data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=self.base.to_bytes(8, "little")).digest()
-            out[i] = int.from_bytes(digest, "little") % PRIME
-        return out
+        return (self.sums[ends] - self.sums[starts]) * wrapped_powers(self.n + 1, True)[starts]
 
     def every(self, k: int) -> np.ndarray:
         """The hash of the k bytes from each position on, as far as there are k."""
         m = max(0, self.n - k + 1)
-        return self._range(self.low[k:k + m] - self.low[:m], self.high[k:k + m] - self.high[:m], powers(self.n + 1, self.base, True)[:m])
+        return (self.sums[k:k + m] - self.sums[:m]) * wrapped_powers(self.n + 1, True)[:m]
+
+
+def unlike(data: np.ndarray, begin: np.ndarray, end: np.ndarray, chief: np.ndarray) -> np.ndarray:
+    """The ranges whose bytes differ from those of their representative, which is another range."""
+    size = end - begin
+    differ = size != size[chief]
+    same = np.flatnonzero(~differ & (chief != np.arange(len(chief))))
+    whole = same[size[same] > SHORT]
+    # short ranges byte by byte over all of them, and what is longer as a whole
+    for k in range(min(int(size[same].max(initial=0)), SHORT)):
+        same = same[size[same] > k] if k else same
+        differ[same] |= data[begin[same] + k] != data[begin[chief[same]] + k]
+    for i, at, to, n in zip(whole.tolist(), begin[whole].tolist(), begin[chief[whole]].tolist(), size[whole].tolist()):
+        differ[i] |= not np.array_equal(data[at:at + n], data[to:to + n])
+    return np.flatnonzero(differ)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
+    """Unmixed Rabin-Karp hashes of the ranges [start, end), which are in order; equal bytes give equal hashes.
+
+    Modulo a power of two there are texts that collide for every base; modulo a prime two given ranges
+    of n bytes collide for n of all bases at most.  The sums are built over one segment at a time, which fits a
+    processor's cache; a range longer than ``LONG_RANGE`` has a digest in place of a sum.
+    """
+    out = np.empty(len(starts), U64)
+    size, i = ends - starts, 0
+    while i < len(starts):
+        j = int(np.searchsorted(starts, starts[i] + SEGMENT))
+        short = np.flatnonzero(size[i:j] <= LONG_RANGE) + i
+        if len(short):
+            at = starts[short[0]]
+            out[short] = _summed(data[at:ends[short].max()], starts[short] - at, ends[short] - at, base)
+        for k in (np.flatnonzero(size[i:j] > LONG_RANGE) + i).tolist():
+            digest = blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8, salt=base.to_bytes(8, "little")).digest()
+            out[k] = int.from_bytes(digest, "little") % PRIME
+        i = j
+    return out
+
+
+def _summed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    power, value = powers(len(data), base), data.astype(U64) + U64(1)
+    low, high = np.zeros(len(data) + 1, U64), np.zeros(len(data) + 1, U64)
+    np.cumsum(value * (power & U64(0xFFFFFFFF)), out=low[1:])
+    np.cumsum(value * (power >> U64(32)), out=high[1:])
+    low, high = low[ends] - low[starts], high[ends] - high[starts]
+    high = (high >> U64(29)) + ((high & U64((1 << 29) - 1)) << U64(32))
+    return times(_reduced(_reduced(low) + _reduced(high)), powers(len(data) + 1, base, True)[starts])
 
 
 @lru_cache(None)
@@ -191,7 +230,7 @@ class Words:
         return len(self.starts)
 
     def hashes(self, base: int = BASE) -> np.ndarray:
-        return mix(Prefix(self.data, base).of(self.starts, self.ends))
+        return mix(range_hashes(self.data, self.starts, self.ends, base))
 
     def windows(self, k: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of k words of one text, and the windows' hashes."""

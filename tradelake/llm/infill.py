@@ -35,7 +35,7 @@ OUT_SCHEMA = "doc_id long, n long, form string, prefix_chars long, middle_chars
 def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     """The ends of each text's chunks: where the hash of the last ``WINDOW`` bytes ends in zero bits, but no
     sooner than ``LEAST`` and no later than ``MOST`` bytes after the border before."""
-    rolling = bt.mix(bt.Prefix(data).every(WINDOW))
+    rolling = bt.mix(bt.Rolling(data).every(WINDOW))
     good = (np.flatnonzero((rolling & bt.U64(MEAN - 1)) == 0) + WINDOW).tolist()
     out = []
     for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -131,7 +131,7 @@ def infilled(docs: DataFrame, seed: str = SEED, rate: int = RATE, spm_rate: int
         first = np.concatenate(([0], np.cumsum([len(e) for e in per_text])))
         ends = np.array([e for own in per_text for e in own], np.int64)
         starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        hashes = (bt.mix(bt.Prefix(data).of(starts, ends)) ^ (ends - starts).astype(bt.U64)).tolist()
+        hashes = (bt.mix(bt.Rolling(data).of(starts, ends)) ^ (ends - starts).astype(bt.U64)).tolist()
         raw = data.tobytes()
         found = [cache.of(h, raw[i:j]) for h, i, j in zip(hashes, starts.tolist(), ends.tolist())]
         lines = np.concatenate(([0], np.cumsum([len(s.line_ends) for s in found])))
