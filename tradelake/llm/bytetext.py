@@ -136,13 +136,15 @@ def unlike(data: np.ndarray, begin: np.ndarray, end: np.ndarray, chief: np.ndarr
     size = end - begin
     differ = size != size[chief]
     same = np.flatnonzero(~differ & (chief != np.arange(len(chief))))
-    whole = same[size[same] > SHORT]
+    whole, same = same[size[same] > SHORT], same[size[same] <= SHORT]
     # short ranges byte by byte over all of them, and what is longer as a whole
-    for k in range(min(int(size[same].max(initial=0)), SHORT)):
+    for k in range(int(size[same].max(initial=0))):
         same = same[size[same] > k] if k else same
         differ[same] |= data[begin[same] + k] != data[begin[chief[same]] + k]
-    for i, at, to, n in zip(whole.tolist(), begin[whole].tolist(), begin[chief[whole]].tolist(), size[whole].tolist()):
-        differ[i] |= not np.array_equal(data[at:at + n], data[to:to + n])
+    if len(whole):
+        raw = data.tobytes()
+        differ[whole] = [raw[i:j] != raw[k:n] for i, j, k, n in zip(
+            begin[whole].tolist(), end[whole].tolist(), begin[chief[whole]].tolist(), end[chief[whole]].tolist())]
     return np.flatnonzero(differ)
 
 
