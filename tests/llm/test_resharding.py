@@ -81,6 +81,15 @@ def test_columns_of_files_and_names_that_clash(spark, new_path):
     assert len(got) == 200 and len({r.shard for r in got}) == 4
 
 
+def test_very_many_old_shards(spark):
+    """The flow has as many nodes as there are new shards, however many old ones there are."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lpad(F.col("id").cast("string"), 9, "x").alias("text"),
+                                      (F.col("id") % 15_000).alias("old_shard"))
+    got = resharding.reshard(docs, 8, row="doc_id")
+    sizes = {r.shard: r.n for r in got.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert sum(sizes.values()) == 30_000 and max(sizes.values()) - min(sizes.values()) <= 2
+
+
 def test_empty_table(no_docs):
     assert resharding.slots(resharding.reshard(no_docs.withColumn("old_shard", F.lit(0)), 8), "doc_id").collect() == []
 

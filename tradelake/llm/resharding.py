@@ -144,9 +144,9 @@ def reshard(docs: DataFrame, shards: int, capacities: list[int] | None = None, b
     rows = rows.withColumn("block", block).drop("row")
     found = rows.groupBy("block", "old_shard").agg(F.sum(size_of(F.col("text"))).alias("bytes"), F.count("*").alias("rows")).collect()
     own: dict[int, list[tuple[int, int]]] = {}
-    for r in found:
-        own.setdefault(r.old_shard, []).append((r.bytes, r.block))
-    supply = [sum(s for s, _ in own.get(i, [])) for i in range(old + 1)]
+    for r in found:  # old shards whose number no new one has cost the same wherever they go: one supply for all of them
+        own.setdefault(min(r.old_shard, shards), []).append((r.bytes, r.block))
+    supply = [sum(s for s, _ in own.get(i, [])) for i in range(min(old, shards) + 1)]
     if capacities is None:
         share, more = divmod(sum(supply), shards)
         capacities = [share + (j < more) for j in range(shards)]
