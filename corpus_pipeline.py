@@ -20,12 +20,20 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that no rule rejects."""
+    """Rows that no rule rejects.
+
+    Each row is judged by its text alone, so equal texts share their verdict and repeated rows stay repeated; a null
+    or empty text has too few words and goes.  Rows without doc_id are rows like others.
+    """
     return rules.judged(docs).filter("rejected_by is null").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies."""
+    """One row of each group of near copies: the one with the least doc_id, of rows equal in doc_id and text any one.
+
+    Rows without doc_id come after all others.  Null and empty texts are one group; a text without words is like its
+    equals only.
+    """
     return minhash.deduplicated(docs).select(*COLUMNS)
 
 
@@ -43,7 +51,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are not contaminated by the benchmark."""
+    """Rows that are not contaminated by the benchmark, as they were.
+
+    Each row is judged by its text alone; null and empty texts hold no item and stay, repeated rows stay repeated.
+    An empty benchmark, or one whose items have no words, contaminates nothing.
+    """
     return winnowing.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
