@@ -350,6 +350,7 @@ _add("quarantine_layout", """
     SELECT DATE '1998-06-01' AS process_date, 'FAILED_DQ_CHECK' AS quarantine_reason,
            count(*) AS rows FROM judged WHERE NOT ok""", "judged")
 _add("sorted_layout", "SELECT * FROM fact", "fact")
+_add("sorted_layout_bounds", "SELECT count(*) AS rows, 0::BIGINT AS overlaps FROM trades", "trades")
 _add("bucketed_layout", "SELECT trade_id, count(*) AS events FROM fact GROUP BY trade_id", "fact")
 _add("union_evolving", """
     SELECT * EXCLUDE (tie_part, tie_supp)

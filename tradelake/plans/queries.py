@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradelake import fixtures, sinks, streaming
@@ -335,6 +335,21 @@ def sorted_layout(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def sorted_layout_bounds(spark, sf):
+    """Rows of a sorted table, and how many of its files begin before the one before them ends; a third of the rows share a key."""
+    path, by = scratch_path(spark, "sorted"), ["trade_date", "trade_id"]
+    hot = F.col("tie_part") % 3 == 0
+    rows = fixtures.trades_raw(spark, sf).withColumns({
+        "trade_date": F.when(hot, F.lit("1995-06-01").cast("date")).otherwise(F.col("trade_date")),
+        "trade_id": F.when(hot, "hot").otherwise(F.col("trade_id"))})
+    sinks.write_sorted(rows, path, by)
+    files = sinks.file_bounds(spark.read.parquet(path), by)
+    before = F.lag("high").over(Window.orderBy("low", "high"))  # one row per file
+    return files.withColumn("before", before).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("before") > F.col("low")).alias("overlaps"))
+
+
 @query
 def bucketed_layout(spark, sf):
     """Trades per event type from a table bucketed by trade id."""
