@@ -47,6 +47,12 @@ def with_audit(df: DataFrame, run_id: str) -> DataFrame:
                            "dbt_invocation_id": F.lit(run_id)})
 
 
+def with_load_time(df: DataFrame, column: str = "loaded_at") -> DataFrame:
+    """The time of the load, for dimensions and aggregates; a row that has one keeps it."""
+    now = F.current_timestamp()
+    return df.withColumn(column, F.coalesce(F.col(column), now) if column in df.columns else now)
+
+
 def _fx(df: DataFrame, fx: DataFrame) -> DataFrame:
     rates = fx.select(F.col("currency"), F.col("rate_date").alias("trade_date"), "usd_rate")
     return enrich.lookup(df, rates, ["currency", "trade_date"])

