@@ -1,32 +1,5 @@
 """Gives the executors' Python workers this package."""
 
-from __future__ import annotations
+from tradelake.ship import ship
 
-import os
-import tempfile
-import zipfile
-
-import tradelake
-from pyspark.sql import SparkSession
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Adds the package to the session's Python files, once per application.
-
-    Where it is installed on the executors anyway, this changes nothing.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.abspath(tradelake.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="tradelake-py-"), "tradelake-py.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(top)))
-    context.addPyFile(path)
-    _SHIPPED.add(context.applicationId)
+__all__ = ["ship"]
