@@ -170,3 +170,50 @@ def test_a_quoted_line_break_leaves_all_files_in_splits(spark, tmp_path, small_s
     got = csv_files.read_csv(spark, paths).collect()
     assert {tuple(r.names) for r in got} == {("A", "B", "C")}
     assert sorted(tuple(r["values"]) for r in got) == sorted(tuple(x) for x in [*rows, *rows, ["t", "two\nlines, " * 40, "0"]])
+
+
+def counted_tags(monkeypatch):
+    seen, tags = [], fpml.tags
+
+    def counting(data, state):
+        for tag in tags(data, state):
+            seen.append(tag)
+            yield tag
+
+    monkeypatch.setattr(fpml, "tags", counting)
+    return seen
+
+
+def test_whole_trades_are_not_followed_tag_by_tag(monkeypatch):
+    seen = counted_tags(monkeypatch)
+    data = b"<f:trade><!-- </f:trade> --><f:tradeHeader><f:tradeDate>d</f:tradeDate></f:tradeHeader></f:trade>" * 200
+    ends = fpml.summary(data)["ends"]
+    assert [(e["state"], e["closes"], e["opens"], e["broken"]) for e in ends[:2]] == [
+        ("T", [], [], False), ("T", ["f:tradeHeader", "f:trade"][1:], [], False)]
+    rows = fpml.parse({"path": "p", "block": 1, "seq": 0, "data": data, "encoding": None, "unusual": None})
+    assert len(rows) == 200 and all(r["fields"][5] == "d" for r in rows)
+    assert len(seen) < 50
+
+
+def test_names_that_begin_with_a_colon_are_still_broken():
+    data = b"<trade><:x/></trade>"
+    assert fpml.passed(data, fpml.TEXT)["broken"]
+    rows = fpml.parse({"path": "p", "block": 1, "seq": 0, "data": data, "encoding": None, "unusual": None})
+    assert not [r for r in rows if r.get("fields")]
+
+
+@pytest.mark.parametrize("target", [1, 40, 1000])
+def test_files_are_cut_at_trades_and_nothing_is_lost(spark, new_path, monkeypatch, target):
+    from tradelake.sources import chunks
+    monkeypatch.setattr(chunks, "TARGET", target)
+    monkeypatch.setattr(chunks, "LIMIT", 4 * target)
+    path = new_path()
+    texts = ["<a>" + "".join(f"<f:trade n='{i}{j}'><subtrade/></f:trade>" for i in range(20)) + "</a>" for j in range(2)]
+    spark.createDataFrame([(t,) for t in texts], "value string").repartition(2).write.text(path, lineSep=" ")
+    for mark, leading, find in (("<", True, fpml.next_trade), ("\n", False, csv_files.next_line)):
+        cut = chunks.cut(spark, [path], mark, leading, find, lambda data: {"n": len(data)}, "struct<n: int>", "t").collect()
+        files = {}
+        for row in sorted(cut, key=lambda r: (r["path"], r["block"], r["seq"])):
+            files[row["path"]] = files.get(row["path"], b"") + bytes(row["data"])
+        assert sorted(f.strip() for f in files.values()) == sorted(t.encode() for t in texts)
+        assert all(len(r["data"]) <= 4 * target + 60 for r in cut if leading)

@@ -10,6 +10,7 @@ across a border is put together from the parts its chunks hand out.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ TARGET, LIMIT = 1 << 20, 1 << 22
 PLACE = "path string, block long, seq int"
 PLACE_COLUMNS = ["path", "block", "seq"]
 OWNER = "struct<block: long, seq: int>"
+DENSE = "zstd"  # for copies of the text
 
 
 def plain_path(path: Column) -> Column:
@@ -49,16 +51,28 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
 
 
 def cut(spark: SparkSession, paths: list[str], separator: str, leading: bool,
-        may_start: Callable[[bytes], bool], summary: Callable[[bytes], dict], schema: str, name: str) -> DataFrame:
+        next_start: Callable[[bytes, int], int], summary: Callable[[bytes], dict], schema: str, name: str) -> DataFrame:
     """(path, block, seq, data, summary) of all files, written once and read back.
 
     The text is read in splits at ``separator``, which opens a piece (``leading``) or ends it.  A chunk is
-    closed before the next piece that ``may_start`` one after ``TARGET`` bytes, and before any piece after
-    ``LIMIT``.  ``seq`` counts the chunks of a split, and ``block`` orders the splits of a file.
+    closed before the next piece that ``next_start`` finds (its place at or after another, or -1) after ``TARGET``
+    bytes, and before any piece after ``LIMIT``.  ``seq`` counts the chunks of a split, and ``block`` orders the
+    splits of a file.  Pieces may be as short as a tag, so they are joined and looked at by the batch.
     """
     ship(spark)
     mark = separator.encode()
 
+    def piece_from(text: bytes, at: int) -> int:
+        if leading:
+            return text.find(mark, at)
+        return text.find(mark, max(0, at - len(mark))) + len(mark) if at else 0
+
+    def next_cut(text: bytes, at: int, size: int) -> int:
+        """Where the chunk that has ``size`` bytes before ``at`` is to be closed, or the end."""
+        places = [find(text, at + max(0, most - size)) for find, most in ((next_start, TARGET), (piece_from, LIMIT))
+                  if at + most - size < len(text)]
+        return min((p for p in places if 0 <= p < len(text)), default=len(text))
+
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, seq, held, size = None, 0, [], 0
 
@@ -68,17 +82,23 @@ def cut(spark: SparkSession, paths: list[str], separator: str, leading: bool,
 
         for batch in batches:
             for path, block, values in _runs(batch):
-                if (path, block) != key:
+                fresh = (path, block) != key
+                if fresh:
                     if held:
                         yield from close()
                     key, seq, held, size = (path, block), 0, [], 0
-                for value in values.to_pylist():
-                    if (size >= TARGET and may_start(value)) or size >= LIMIT:
+                text = pc.binary_join(pa.ListArray.from_arrays([0, len(values)], values), mark)[0].as_py()
+                text = text + mark if not leading else text if fresh and block == 0 else mark + text
+                at = 0
+                while at < len(text):
+                    end = next_cut(text, at, size)
+                    if end > at:
+                        held.append(text[at:end])
+                        size += end - at
+                    if end < len(text):
                         yield from close()
                         seq, held, size = seq + 1, [], 0
-                    first = block == 0 and seq == 0 and not held
-                    held.append((value if first else mark + value) if leading else value + mark)
-                    size += len(value) + len(mark)
+                    at = end
         if held:
             yield from close()
 
@@ -87,7 +107,7 @@ def cut(spark: SparkSession, paths: list[str], separator: str, leading: bool,
         F.col("value").cast("binary").alias("value"))
     whole = f"{PLACE}, data binary, summary {schema}"
     out = _arrow_schema(whole)
-    return stage(pieces.mapInArrow(chunks, whole).withColumn("path", scanned_path(F.col("path"))), name)
+    return stage(pieces.mapInArrow(chunks, whole).withColumn("path", scanned_path(F.col("path"))), name, DENSE)
 
 
 def _arrow_schema(schema: str) -> pa.Schema:
@@ -124,11 +144,15 @@ def parsed(frame: DataFrame, parse: Callable[[dict], list[dict]], schema: str) -
     out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows = parse(batch.slice(i, 1).to_pylist()[0])
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, out)
+        gc.disable()  # rows and trees have no cycles, and looking for them takes as long as building them
+        try:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    rows = parse(batch.slice(i, 1).to_pylist()[0])
+                    if rows:
+                        yield pa.RecordBatch.from_pylist(rows, out)
+        finally:
+            gc.enable()
 
     return frame.mapInArrow(run, schema)
 

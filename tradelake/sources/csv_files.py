@@ -109,9 +109,14 @@ def parse_whole(record: dict) -> list[dict]:
     return [{"path": record["path"], "head": record["head"], "cells": r} for r in cells_of(record["data"])]
 
 
+def next_line(text: bytes, at: int) -> int:
+    """The place of the first line that begins at or after another; the end if there is none."""
+    return text.find(b"\n", at - 1) + 1 or len(text) if at else 0
+
+
 def records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, head, cells): every record of the files, the header of each marked by ``head``."""
-    kept = ch.cut(spark, paths, "\n", False, lambda line: True, summary, SUMMARY, "csv-chunks")
+    kept = ch.cut(spark, paths, "\n", False, next_line, summary, SUMMARY, "csv-chunks")
     starts = stage(ch.followed(kept, follow, f"quoted boolean, owner {ch.OWNER}").filter("quoted"), "csv-starts")
     found = stage(ch.read(kept, starts, parse, RECORDS, "quoted", "owner"), "csv-records")
     head = F.coalesce("head", F.lit(False)).alias("head")

@@ -28,6 +28,8 @@ OPENERS = {b"!--": COMMENT, b"![CDATA[": CDATA, b"?": INSTRUCTION}
 _NAME = rb"(?:[A-Za-z_]|[^\x00-\x7F])(?:[-.:\w]|[^\x00-\x7F])*"
 _VALUE = rb"""(?:"[^"<]*"|'[^'<]*')"""
 MARKUP = re.compile(rb"<(?:(!--|!\[CDATA\[|\?)|(!DOCTYPE[^\[<>]*>)|(/?)(%s)((?:\s+%s\s*=\s*%s)*)\s*(/?)>)?" % (_NAME, _NAME, _VALUE))
+TRADE_START = re.compile(rb"<(?:%s:)?%s(?![-.:\w]|[^\x00-\x7F])" % (_NAME, FPML_TRADE.encode()))
+COLON_FIRST = [before + b":" for before in (b"<", b"</", b" ", b"\t", b"\r", b"\n")]
 ENCODING = re.compile(rb"""^\s*<\?xml\s[^>]*?encoding\s*=\s*["']([-.\w]+)["']""")
 BOM = b"\xef\xbb\xbf"
 DEEP = 1 << 30  # somewhere within the root
@@ -74,10 +76,33 @@ def tags(data: bytes, state: str) -> Iterator[tuple[str, bytes, int, int]]:
             return
 
 
+def colon_first(data: bytes) -> bool:
+    """Whether there may be a name that begins with a colon."""
+    return any(found in data for found in COLON_FIRST)
+
+
+def balanced(data: bytes) -> bool:
+    """Whether a stretch of a file is text and whole elements, well-formed as UTF-8.
+
+    Expat is as strict with tags as ``tags`` or stricter, but for names that begin with a colon.  It decides most
+    chunks, which end where they began; others are followed tag by tag.
+    """
+    if colon_first(data):
+        return False
+    parser = expat.ParserCreate("utf-8")
+    try:
+        parser.Parse(b"<r>", False)
+        parser.Parse(data, False)
+        parser.Parse(b"</r>", True)
+    except expat.ExpatError:
+        return False
+    return True
+
+
 def passed(data: bytes, state: str) -> dict:
     """What a chunk does to a file that is in ``state`` where it begins."""
-    closes, opens, net, dip, root, broken = [], [], 0, 0, None, False
-    for kind, name, _, _ in tags(data, state):
+    closes, opens, net, dip, root, broken, tried = [], [], 0, 0, None, False, False
+    for kind, name, begin, _ in tags(data, state):
         if kind == "end":
             state = name.decode()
         elif kind == "broken":
@@ -85,8 +110,14 @@ def passed(data: bytes, state: str) -> dict:
         else:
             root = root or name
             if kind == "open":
+                is_trade = local(name) == FPML_TRADE
+                if is_trade and not tried:
+                    tried = True
+                    if balanced(data[begin:]):  # no tag after this one changes what is open
+                        state = TEXT
+                        break
                 opens.append(name)
-                net += local(name) == FPML_TRADE
+                net += is_trade
             elif kind == "close":
                 if not opens:
                     closes.append(name)
@@ -106,9 +137,10 @@ def summary(data: bytes) -> dict:
     return {"encoding": None if named == "utf-8" else named, "ends": [passed(data, s) for s in STATES]}
 
 
-def begins_trade(piece: bytes) -> bool:
-    name = re.match(_NAME, piece)
-    return name is not None and local(name[0]) == FPML_TRADE
+def next_trade(text: bytes, at: int) -> int:
+    """The place of the first tag at or after another that looks like the start of a trade, or -1."""
+    found = TRADE_START.search(text, at)
+    return found.start() if found else -1
 
 
 def follow(summaries: list[dict]) -> list[dict]:
@@ -140,25 +172,46 @@ def element(data: bytes, encoding: str | None) -> Element | None:
     """The element that a stretch of a file holds, prefixes taken off; null if it is not well-formed."""
     tree, parser = TreeBuilder(), expat.ParserCreate(encoding or "utf-8")
     parser.buffer_text = True
-    parser.StartElementHandler = lambda name, attributes: tree.start(local(name), attributes)
-    parser.EndElementHandler = lambda name: tree.end(local(name))
+    parser.StartElementHandler = tree.start
+    parser.EndElementHandler = tree.end
     parser.CharacterDataHandler = tree.data
     try:
         parser.Parse(data, True)
     except (expat.ExpatError, LookupError, ValueError):
         return None
-    return tree.close()
+    whole = tree.close()
+    if b":" in data:
+        for e in whole.iter():
+            if ":" in e.tag:
+                e.tag = e.tag.rpartition(":")[2]
+    return whole
+
+
+def _steps(path: str) -> list[tuple]:
+    """(anywhere below?, name, attribute, its value) of the steps of a path of ``FPML_PATHS``."""
+    found = re.findall(r"(\.//|/|^)(\w+)(?:\[@(\w+)='([^']*)'\])?", path)
+    return [(at == ".//", name, key, value) for at, name, key, value in found]
+
+
+FPML_STEPS = {name: _steps(path) for name, path in FPML_PATHS.items()}
+
+
+def _found(trade: Element, steps: list[tuple]) -> list[Element]:
+    """What ``trade.findall`` finds for a path; for few elements, its own steps cost less than its general ones."""
+    out = [trade]
+    for below, name, key, value in steps:
+        out = [e for o in out for e in (o.iter(name) if below else o.findall(name)) if e is not o]
+        if key:
+            out = [e for e in out if e.get(key) == value]
+    return out
 
 
 def fields_of(trade: Element) -> list[str]:
     """The texts of a trade's fields; one that is absent has its default, one that is empty an empty text."""
     out = []
-    for name, path in FPML_PATHS.items():
-        if name == FPML_HREF:
-            found = next((e.get("href") for e in trade.iterfind(path) if e.get("href") is not None), None)
-        else:
-            found = trade.findtext(path)
-        out.append(FPML_DEFAULTS.get(name, "") if found is None else found)
+    for name, steps in FPML_STEPS.items():
+        texts = [e.get("href") if name == FPML_HREF else e.text or "" for e in _found(trade, steps)]
+        out.append(next((text for text in texts if text is not None), FPML_DEFAULTS.get(name, "")))
     return out
 
 
@@ -175,6 +228,10 @@ def parse(chunk: dict) -> list[dict]:
     if not usual and not chunk["sound"]:
         return []
     place = {**{k: chunk[k] for k in ch.PLACE_COLUMNS}, "encoding": chunk["encoding"]}
+    if usual and not colon_first(data):  # most often whole trades and what lies between them: all in one tree
+        found = trades_in(b"<r>%s</r>" % data, None)
+        if found is not None:
+            return [{**place, "fields": f} for f in found]
     state, level, depth = (TEXT, DEEP, 0) if usual else (chunk["state"], chunk["level"], chunk["depth"])
     rooted, out = usual or chunk["rooted"], []
     own = {"block": chunk["block"], "seq": chunk["seq"]}
@@ -232,7 +289,7 @@ def read_fpml(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     Files with declarations inside a DOCTYPE count as malformed: their entities are not known here.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    kept = ch.cut(spark, paths, "<", True, begins_trade, summary, SUMMARY, "fpml-chunks")
+    kept = ch.cut(spark, paths, "<", True, next_trade, summary, SUMMARY, "fpml-chunks")
     starts = stage(ch.followed(kept, follow, START), "fpml-starts")
     usual = ((F.col("state") == TEXT) & (F.col("depth") == 0) & (F.col("level") > 0) & ~F.col("ends")
              & F.col("sound") & F.col("encoding").isNull())
