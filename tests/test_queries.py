@@ -32,3 +32,10 @@ def test_entry_and_no_python_workers(spark):
     assert df.count() > 0
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan[plan.index("== Physical Plan =="):]
+
+
+def test_compaction_table_is_written_by_more_tasks_for_more_input(spark, monkeypatch):
+    from tradelake.plans import queries
+    monkeypatch.setattr(queries, "COMPACT_TASK_BYTES", 10_000)
+    files = entry.queries()["compact_preserves_rows"](spark, SF).inputFiles()
+    assert len({f.rpartition("/")[2][:10] for f in files if "trade_date=1995" in f}) > 6
