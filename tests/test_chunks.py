@@ -217,3 +217,19 @@ def test_files_are_cut_at_trades_and_nothing_is_lost(spark, new_path, monkeypatc
             files[row["path"]] = files.get(row["path"], b"") + bytes(row["data"])
         assert sorted(f.strip() for f in files.values()) == sorted(t.encode() for t in texts)
         assert all(len(r["data"]) <= 4 * target + 60 for r in cut if leading)
+
+
+def test_lines_without_quotes_are_not_read_one_by_one(monkeypatch):
+    """Only records that hold a quote go through the csv reader; all records are the same."""
+    seen = []
+    one_by_one = csv_files.cells_of
+    monkeypatch.setattr(csv_files, "cells_of", lambda data: seen.append(data) or one_by_one(data))
+    for end in (b"\n", b"\r\n"):
+        lines = [b"a,,b", b"", b'"x\ny",2', b"\xff,\xc3\xa9", b",", b'1,"p, q"', b" "]
+        data = end.join([*lines, b""])
+        seen.clear()
+        rows = csv_files.parse({"path": "p", "block": 0, "seq": 0, "data": data, "quoted": None, "owner": None})
+        assert b"".join(seen) == end.join([lines[2], lines[5], b""])
+        assert sorted(r["cells"] for r in rows) == sorted(one_by_one(data))
+        assert [r["cells"] for r in rows if r["head"]] == [["a", "", "b"]]
+    assert [r["cells"] for r in csv_files.parse({"path": "p", "block": 0, "seq": 0, "data": b'a\rb,c\n\n"d"\n', "quoted": None, "owner": None})] == [["a"], ["b", "c"], ["d"]]

@@ -135,22 +135,37 @@ def followed(chunks: DataFrame, follow: Callable[[list[dict]], list[dict]], sche
 def read(chunks: DataFrame, starts: DataFrame, parse: Callable[[dict], list[dict]], schema: str, *columns: str) -> DataFrame:
     """The rows that ``parse`` finds in each chunk; ``starts`` has the chunks whose start is not the usual one,
     and ``parse`` gets null for the others."""
+    return parsed(_started(chunks, starts, columns), parse, schema)
+
+
+def read_batches(chunks: DataFrame, starts: DataFrame, parse: Callable[[dict], Iterator[pa.RecordBatch]], schema: str, *columns: str) -> DataFrame:
+    """As ``read`` for a ``parse`` that gives record batches."""
+    return _parsed_batches(_started(chunks, starts, columns), parse, schema)
+
+
+def _started(chunks: DataFrame, starts: DataFrame, columns) -> DataFrame:
     at = starts.select(*PLACE_COLUMNS, *columns, F.lit(True).alias("unusual"))
-    return parsed(chunks.drop("summary").join(at, PLACE_COLUMNS, "left"), parse, schema)
+    return chunks.drop("summary").join(at, PLACE_COLUMNS, "left")
 
 
 def parsed(frame: DataFrame, parse: Callable[[dict], list[dict]], schema: str) -> DataFrame:
     """The rows that ``parse`` makes of each row."""
     out = _arrow_schema(schema)
 
+    def batches(row: dict) -> Iterator[pa.RecordBatch]:
+        if rows := parse(row):
+            yield pa.RecordBatch.from_pylist(rows, out)
+
+    return _parsed_batches(frame, batches, schema)
+
+
+def _parsed_batches(frame: DataFrame, parse: Callable[[dict], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # rows and trees have no cycles, and looking for them takes as long as building them
         try:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    rows = parse(batch.slice(i, 1).to_pylist()[0])
-                    if rows:
-                        yield pa.RecordBatch.from_pylist(rows, out)
+                    yield from parse(batch.slice(i, 1).to_pylist()[0])
         finally:
             gc.enable()
 
