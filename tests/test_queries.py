@@ -39,3 +39,11 @@ def test_compaction_table_is_written_by_more_tasks_for_more_input(spark, monkeyp
     monkeypatch.setattr(queries, "COMPACT_TASK_BYTES", 10_000)
     files = entry.queries()["compact_preserves_rows"](spark, SF).inputFiles()
     assert len({f.rpartition("/")[2][:10] for f in files if "trade_date=1995" in f}) > 6
+
+
+def test_quarantine_is_computed_once_for_both_writes(spark, monkeypatch):
+    from tradelake import sinks
+    read, write = [], sinks.write_quarantine
+    monkeypatch.setattr(sinks, "write_quarantine", lambda df, *rest: read.append(df.inputFiles()) or write(df, *rest))
+    assert entry.queries()["quarantine_layout"](spark, SF).count() > 0
+    assert len(read) == 2 and read[0] == read[1] and not [f for f in read[0] if "lineitem" in f]
