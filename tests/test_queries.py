@@ -47,3 +47,8 @@ def test_quarantine_is_computed_once_for_both_writes(spark, monkeypatch):
     monkeypatch.setattr(sinks, "write_quarantine", lambda df, *rest: read.append(df.inputFiles()) or write(df, *rest))
     assert entry.queries()["quarantine_layout"](spark, SF).count() > 0
     assert len(read) == 2 and read[0] == read[1] and not [f for f in read[0] if "lineitem" in f]
+
+
+def test_the_fact_is_moved_for_large_tables_before_small_ones_widen_it(spark):
+    plan = entry.queries()["fct_trades"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("c_name#") < plan.index("p_brand#") < plan.index("s_name#")  # the side of the first lookup comes first
