@@ -201,3 +201,12 @@ def test_reconcile(spark):
     near = confirmations.reconcile(confirms.filter("trade_id = 'c2'"), ours, tolerance="1")
     assert {r.breaks for r in near.collect() if r.their_ref} == {"currency"}
     assert dt.date and F
+
+
+def test_reconcile_without_ties_moves_only_what_is_compared(spark):
+    confirms = spark.createDataFrame([("c1", "a", Decimal(10), "USD")],
+                                     "trade_id string, our_ref string, notional decimal(20,4), currency string")
+    ours = trades(spark, trade("a", at=ts(2)), trade("a", "AMEND", at=ts(1), currency="XXX"), trade("b"))
+    unread = ours.withColumn("book_id", F.raise_error(F.col("book_id")).cast("string"))
+    got = {(r.our_ref, r.their_ref, r.status) for r in confirmations.reconcile(confirms, unread, ties=[]).collect()}
+    assert got == {("a", "c1", "MATCHED"), ("b", None, "MISSING_THEIRS")}

@@ -312,7 +312,7 @@ def full_match(df: DataFrame, key: str, known: DataFrame, known_key: str) -> Dat
         if held is not None:
             yield built(held, _column(held, "found"), np.array([not used]), True)
 
-    result = stage(in_ranges(rows, ["key", "side", "tie"]).mapInArrow(scan, whole), "match")
+    result = stage(in_ranges(rows, ["key", "side", "tie"]).mapInArrow(scan, whole), "match", "zstd")
     # only the last row of known in a range can belong to rows at the beginning of ranges behind it
     ends = result.filter("side = 0 AND last").select(F.col("key").alias("k"), F.col("range").alias("r"), F.col("found").alias("f"))
     opened = result.filter("side = 1 AND open").select("key", "range").distinct()

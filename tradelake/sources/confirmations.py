@@ -221,18 +221,19 @@ def to_messages(rows: DataFrame, envelopes: DataFrame, source_system: str,
 
 # --- Matching ------------------------------------------------------------------------
 
-def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000") -> DataFrame:
+def reconcile(confirms: DataFrame, trades: DataFrame, tolerance: str = "0.0000", ties=None) -> DataFrame:
     """Confirmations against our trades: MATCHED, BREAK, MISSING_OURS, MISSING_THEIRS.
 
     ``confirms`` needs trade_id, our_ref, notional and currency (and price where both
     sides have one).  Our side is first cut to the newest state per trade, so a
-    reference meets one row however often it is confirmed.  Both sides are read once, into one
+    reference meets one row however often it is confirmed; of states of one time and event type ``ties`` choose, by
+    default all columns, which are then moved.  A caller with one state per trade and event type gives none.  Both sides are read once, into one
     shuffle, in which a reference that very many confirmations share is spread.  Confirmations without a
     reference meet nothing; trades without id are left out.
     """
     with_price = "price" in confirms.columns and "price" in trades.columns
     compared = ["notional", "currency", *(["price"] if with_price else [])]
-    ours = latest(trades, "trade_id", ["updated_at", "event_type"], null_keys="drop").select(
+    ours = latest(trades, "trade_id", ["updated_at", "event_type"], ties, null_keys="drop").select(
         F.col("trade_id").alias("our_ref"), *[F.col(c).alias(f"our_{c}") for c in compared])
     theirs = confirms.select(F.nullif("our_ref", F.lit("")).alias("our_ref"),
                              F.col("trade_id").alias("their_ref"),
