@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rows import trade, trades, ts
 
 from tradelake import jobs, session, sinks, sources
+from tradelake.plans import marts
 from tradelake.schemas import FACT_DATE_FLOOR
 
 DAY = dt.date(2024, 1, 1)
@@ -129,6 +130,16 @@ def test_dim_reads_only_its_columns(spark, lake):
     assert "ReadSchema: struct<book_id:string>" in df._jdf.queryExecution().toString()
 
 
+def test_derived_columns_are_not_moved(spark, new_path):
+    df = trades(spark, *[trade(f"t{i}") for i in range(9)]).withColumn("usd_rate", F.lit(2)).withColumns(marts.derived_columns())
+    for move in (lambda rows: sinks.sorted_layout(rows, ["trade_date"]), lambda rows: rows.hint("rebalance", 4, "trade_id")):
+        got = sinks.moved(df, move, marts.derived_columns())
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("md5(") == 1 and plan.index("md5(") < plan.index("Repartition" if "Repartition" in plan else "Rebalance")
+        assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    sinks.write_sorted(df, new_path("sorted"), ["trade_date"], late=marts.derived_columns())
+
+
 def test_sorted_and_bucketed_layouts(spark, new_path):
     df = trades(spark, *[trade(f"t{i}") for i in range(50)])
     path = new_path("sorted")
