@@ -197,3 +197,21 @@ def test_envelope_keeps_nulls_headers_and_order(spark):
 def test_dates(spark):
     df = spark.createDataFrame([(dt.date(2019, 12, 31),), (dt.date(2020, 1, 1),)], "d date")
     assert quality.run_suite(df, [quality.on_or_after("d", "2020-01-01")]).first().failures == 1
+
+
+def test_rates_made_by_an_aggregate_do_not_move_the_trades(spark):
+    """Forty tasks make the same 2,000 rates: their parts are above the broadcast limit, the rates below."""
+    days = spark.range(0, 80000, 1, 40).select(F.when(F.col("id") >= 0, "USD").alias("currency"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 2000).cast("int")).alias("rate_date"))
+    fx = days.distinct().withColumn("usd_rate", F.lit(1).cast("decimal(12,6)"))
+    rows = trades(spark, trade("T1"), trade("T2", currency="EUR"), trade("T3", trade_date=None))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "500k")
+    try:
+        fact = marts.build_fct_trades(rows, _dims(spark, 20), fx).select("trade_id", "notional_usd")
+        got = {(r.trade_id, r.notional_usd) for r in fact.collect()}
+        plan = fact._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {("T1", Decimal("10.0000")), ("T2", None), ("T3", None)}
+    lookups = [line for line in plan.splitlines() if "Join" in line and "currency#" in line]
+    assert lookups and all("BroadcastHashJoin" in line for line in lookups)
