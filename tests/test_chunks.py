@@ -1,15 +1,18 @@
 """Confirmation files read in chunks: every way to cut a file gives the same rows."""
 
 import csv
+import gzip
 import io
 import random
 import xml.etree.ElementTree as ET
+from urllib.parse import unquote
 
+import pyarrow.parquet as pq
 import pytest
 
 from tradelake import confirmations
 from tradelake.schemas import FPML_DEFAULTS
-from tradelake.sources import csv_files, fpml
+from tradelake.sources import chunks, csv_files, fpml
 
 XML_ODD = ["<!-- </trade> <trade> -->", "<![CDATA[</trade><trade>]]>", "<?pi </trade> ?>", "<subtrade>7</subtrade>", "<f:trade/>",
            "<trade/>", '<leg note="</trade>"/>'.replace("</trade>", "a>trade>"), "<trade x='1'><trade><tradeHeader/></trade></trade>",
@@ -233,3 +236,12 @@ def test_lines_without_quotes_are_not_read_one_by_one(monkeypatch):
         assert sorted(r["cells"] for r in rows) == sorted(one_by_one(data))
         assert [r["cells"] for r in rows if r["head"]] == [["a", "", "b"]]
     assert [r["cells"] for r in csv_files.parse({"path": "p", "block": 0, "seq": 0, "data": b'a\rb,c\n\n"d"\n', "quoted": None, "owner": None})] == [["a"], ["b", "c"], ["d"]]
+
+
+def test_chunks_lie_in_small_row_groups(spark, tmp_path):
+    path = tmp_path / "long.xml.gz"  # one split, so one task writes all its chunks
+    path.write_bytes(gzip.compress(b"<r>" + b"<trade>%s</trade>" % (b"x" * 1000) * 21_000 + b"</r>"))
+    kept = chunks.cut(spark, [str(path)], "<", True, fpml.next_trade, fpml.summary, fpml.SUMMARY, "groups")
+    assert kept.count() > chunks.GROUP_ROWS
+    files = [pq.ParquetFile(unquote(f.removeprefix("file://"))).metadata for f in kept.inputFiles()]
+    assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= chunks.GROUP_ROWS

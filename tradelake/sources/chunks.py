@@ -22,6 +22,7 @@ from tradelake.session import stage
 from tradelake.ship import ship
 
 TARGET, LIMIT = 1 << 20, 1 << 22
+GROUP_ROWS = 16  # chunks that a reader unpacks at once; packed they are so small that a row group by bytes has thousands
 PLACE = "path string, block long, seq int"
 PLACE_COLUMNS = ["path", "block", "seq"]
 OWNER = "struct<block: long, seq: int>"
@@ -38,7 +39,7 @@ def scanned_path(path: Column) -> Column:
     return plain_path(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))))
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
     """(path, block, values) of the stretches of a batch that come from one split of a file."""
     if not batch.num_rows:
         return
@@ -81,7 +82,7 @@ def cut(spark: SparkSession, paths: list[str], separator: str, leading: bool,
             yield pa.RecordBatch.from_pylist([{"path": key[0], "block": key[1], "seq": seq, "data": data, "summary": summary(data)}], out)
 
         for batch in batches:
-            for path, block, values in _runs(batch):
+            for path, block, values in runs(batch):
                 fresh = (path, block) != key
                 if fresh:
                     if held:
@@ -107,7 +108,7 @@ def cut(spark: SparkSession, paths: list[str], separator: str, leading: bool,
         F.col("value").cast("binary").alias("value"))
     whole = f"{PLACE}, data binary, summary {schema}"
     out = _arrow_schema(whole)
-    return stage(pieces.mapInArrow(chunks, whole).withColumn("path", scanned_path(F.col("path"))), name, DENSE)
+    return stage(pieces.mapInArrow(chunks, whole).withColumn("path", scanned_path(F.col("path"))), name, DENSE, GROUP_ROWS)
 
 
 def _arrow_schema(schema: str) -> pa.Schema:
