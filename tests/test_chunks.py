@@ -2,6 +2,7 @@
 
 import csv
 import gzip
+import hashlib
 import io
 import random
 import xml.etree.ElementTree as ET
@@ -12,7 +13,7 @@ import pytest
 
 from tradelake import confirmations
 from tradelake.schemas import FPML_DEFAULTS
-from tradelake.sources import chunks, csv_files, fpml
+from tradelake.sources import checksums, chunks, csv_files, fpml
 
 XML_ODD = ["<!-- </trade> <trade> -->", "<![CDATA[</trade><trade>]]>", "<?pi </trade> ?>", "<subtrade>7</subtrade>", "<f:trade/>",
            "<trade/>", '<leg note="</trade>"/>'.replace("</trade>", "a>trade>"), "<trade x='1'><trade><tradeHeader/></trade></trade>",
@@ -245,3 +246,23 @@ def test_chunks_lie_in_small_row_groups(spark, tmp_path):
     assert kept.count() > chunks.GROUP_ROWS
     files = [pq.ParquetFile(unquote(f.removeprefix("file://"))).metadata for f in kept.inputFiles()]
     assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= chunks.GROUP_ROWS
+
+
+def test_checksums_of_large_files(spark, tmp_path):
+    r, want = random.Random(5), {}
+    lines = b"\n".join(bytes(r.randrange(32, 126) for _ in range(r.randrange(60))) for _ in range(30_000))
+    contents = {"ended.csv": lines + b"\n", "open.csv": lines, "marked.csv": checksums.BOM + lines + b"\n",
+                "marked open.csv": checksums.BOM + lines, "breaks.csv": b"\n\r\n\n" + lines + b"\n\n", "bytes.csv": lines + b"\n\xff\xfe\x00",
+                "packed.csv.gz": gzip.compress(lines), "small.csv": b"a"}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+        want[name] = hashlib.sha256(data).hexdigest()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        files = checksums.with_sha256(spark.read.format("binaryFile").load(str(tmp_path)), whole=1000)
+        got = {f["path"].rpartition("/")[2]: f["sha256"] for f in files.select("path", "sha256").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want
+    scans = [line for line in files._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan binaryFile" in line]
+    assert any("LessThanOrEqual(length,1000)" in line for line in scans)  # contents of the large ones are not read

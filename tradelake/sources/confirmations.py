@@ -18,6 +18,7 @@ from tradelake.operators.dedup import latest
 from tradelake.operators.lookup import lookup
 from tradelake.operators.ordered import full_match
 from tradelake.schemas import CONFIRMATION, CONFIRMATION_CSV, MONEY
+from tradelake.sources.checksums import with_sha256
 from tradelake.sources.chunks import plain_path
 from tradelake.sources.csv_files import read_csv
 from tradelake.sources.fpml import read_fpml
@@ -76,12 +77,11 @@ def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def read_files(spark: SparkSession, envelopes: DataFrame) -> DataFrame:
-    """(path, sha256) of every file that exists; contents stay in the reading task."""
+    """(path, sha256) of every file that exists; of large ones a task holds a piece at a time."""
     paths = _existing(spark, _paths(envelopes))
     if not paths:
         return spark.createDataFrame([], "path string, sha256 string")
-    return (spark.read.format("binaryFile").load(paths)
-            .select("path", F.sha2("content", 256).alias("sha256")))
+    return with_sha256(spark.read.format("binaryFile").load(paths)).select("path", "sha256")
 
 
 def verify_checksums(files: DataFrame, envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
