@@ -6,6 +6,7 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from tradelake import session
 from tradelake.plans import queries
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +74,11 @@ def test_fact_is_looked_up_from_stored_trades(spark, name, monkeypatch):
                                           ("compact_preserves_rows", ["trades"])])
 def test_layouts_store_rows_between_their_moves(spark, name, stored, monkeypatch):
     assert _staged(spark, name, monkeypatch)[1] == stored
+
+
+def test_ledger_packs_what_it_stores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    queries.QUERIES["confirmation_ledger"](spark, SF)
+    for name in ("csv-chunks", "csv-records", "confirmations", "messages"):
+        files = [f.name for f in tmp_path.glob(f"{name}-[0-9a-f]*/*.parquet")]
+        assert files and all(".zstd." in f for f in files), name

@@ -164,7 +164,7 @@ def records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, head, cells): every record of the files, the header of each marked by ``head``."""
     kept = ch.cut(spark, paths, "\n", False, next_line, summary, SUMMARY, "csv-chunks")
     starts = stage(ch.followed(kept, follow, f"quoted boolean, owner {ch.OWNER}").filter("quoted"), "csv-starts")
-    found = stage(ch.read_batches(kept, starts, parse_batches, RECORDS, "quoted", "owner"), "csv-records")
+    found = stage(ch.read_batches(kept, starts, parse_batches, RECORDS, "quoted", "owner"), "csv-records", ch.DENSE)
     head = F.coalesce("head", F.lit(False)).alias("head")
     whole = found.filter("cells is not null").select("path", head, "cells")
     across = ch.assembled(found.filter("cells is null"), head=F.bool_or("head"))
